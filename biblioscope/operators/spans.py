@@ -25,27 +25,23 @@ def count_in_spans(
             F.struct(F.date_sub(start, 1).alias("day"), F.lit(-1).alias("sign")),
         )
     ).alias("edge")
-    edges = (
-        spans.where(F.col(on).isNotNull() & (F.col(start) <= F.col(end)))
-        .select(on, *by, edge)
-        .groupBy(on, *by, F.col("edge.day").alias("day"))
-        .agg(F.sum("edge.sign").alias("weight"))
-    )
-    wanted = spans.select(on).distinct()
-    # The semi join moves below the aggregate on its own when the keys are small enough to broadcast.
+    edges = spans.where(F.col(on).isNotNull() & (F.col(start) <= F.col(end))).select(on, *by, edge)
+    edges = edges.select(on, *by, F.col("edge.day").alias("day"), F.col("edge.sign").alias("sign"))
+    counted = events.select(on, F.col(day).alias("day"), F.lit(1).alias("n"))
+    asked = edges.select(on, "day", F.lit(0).alias("n"))
+    # Where the keys are small enough to broadcast, Spark moves this semi join down to the
+    # events; otherwise the events are reduced to one row per key and day before they meet it.
     daily = (
-        events.groupBy(on, F.col(day).alias("day")).agg(F.count(F.lit(1)).alias("n")).join(wanted, on, "left_semi")
-    )
-    axis = (
-        daily.unionByName(edges.select(on, "day", F.lit(0).cast("bigint").alias("n")))
+        counted.unionByName(asked)
         .groupBy(on, "day")
         .agg(F.sum("n").alias("n"))
+        .join(spans.select(on).distinct(), on, "left_semi")
     )
     so_far = Window.partitionBy(on).orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = axis.select(on, "day", F.sum("n").over(so_far).alias("total"))
+    running = daily.select(on, "day", F.sum("n").over(so_far).alias("total"))
     return (
         edges.join(running, [on, "day"])
         .groupBy(on, *by)
-        .agg(F.sum(F.col("weight") * F.col("total")).alias(count))
+        .agg(F.sum(F.col("sign") * F.col("total")).alias(count))
         .where(F.col(count) > 0)
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from biblioscope.functions.dates import FIRST_DAY, LAST_DAY, in_midnight_range
 from biblioscope.operators.history import current_rows
+from biblioscope.operators.joins import only_keys_of
 from biblioscope.sources.tables import Tables
 
 # The location the zero-use report looks at, and statuses before a check-in.
@@ -26,7 +27,7 @@ def count_circulation_history(
         (F.col("item_status_prior_to_check_in") == CHECKED_OUT)
         & in_midnight_range(F.col("occurred_date_time"), start_date, end_date)
     )
-    return returns.join(items, "item_id").select(
+    return only_keys_of(returns, "item_id", items).join(items, "item_id").select(
         F.col("id").alias("check_in_id"), F.to_date("occurred_date_time").alias("check_in_date")
     )
 
@@ -42,6 +43,7 @@ def count_internal_use(tables: Tables, barcode_to_check: str) -> DataFrame:
         .select(F.col("id").alias("item_id"))
     )
     uses = tables["check_in__t__"].where(F.col("item_status_prior_to_check_in") == AVAILABLE)
+    uses = only_keys_of(uses, "item_id", items)
     return uses.join(items, "item_id").agg(F.count("id").cast("int").alias("internal_use_count"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,9 +13,10 @@ from biblioscope.functions.documents import json_text, text_fields, uuid_norm
 from biblioscope.functions.text import call_number, ci_match, normalised
 from biblioscope.operators.contract import sorted_by
 from biblioscope.operators.history import latest_per_key, version_span
+from biblioscope.operators.joins import spread_join
 from biblioscope.operators.spans import count_in_spans
 from biblioscope.plans.derived import instance_ext, item_ext
-from biblioscope.sources.staging import fits_broadcast, staged
+from biblioscope.sources.staging import BROADCAST_ROWS, staged
 from biblioscope.sources.tables import Tables
 
 # Loan actions that count as a checkout, and the term of the permanent reserves.
@@ -25,6 +27,7 @@ RESERVE_DOCUMENT = text_fields("itemId", copiedItem=text_fields("title", "barcod
 SHELF_DOCUMENT = text_fields(
     "volume", "copyNumber", effectiveCallNumberComponents=text_fields("prefix", "callNumber")
 )
+LOAN_DOCUMENT = text_fields("itemId", "action")
 COURSE_DOCUMENT = text_fields("name", "courseNumber", "courseListingId", "departmentId")
 
 
@@ -42,13 +45,15 @@ def circ_stats_course_reserves(
         .select("course_listing_id")
         .distinct()
     )
-    reserved = (
+    # Kept, as its size settles whether loans and items are filtered where they lie or shuffled.
+    reserved = staged(
         tables["coursereserves_reserves__t__"]
         .select("course_listing_id", "item_id")
         .distinct()
         .join(listings, "course_listing_id", "left_semi")
         .select("item_id")
-        .distinct()
+        .distinct(),
+        "reserved-items",
     )
     counts = (
         tables["loans_items"]
@@ -59,8 +64,11 @@ def circ_stats_course_reserves(
         .where("circ_count >= 1")
     )
     holdings = tables["holdings_ext"].select(F.col("holdings_id").alias("holdings_record_id"), "instance_id")
+    items = item_ext(
+        tables, ["item_id", "barcode", "holdings_record_id"], only=reserved.withColumnRenamed("item_id", "id")
+    )
     rows = (
-        counts.join(item_ext(tables, ["item_id", "barcode", "holdings_record_id"]), "item_id", "left")
+        counts.join(items, "item_id", "left")
         .join(holdings, "holdings_record_id", "left")
         .join(instance_ext(tables, ["instance_id", "title"]), "instance_id", "left")
         .select(F.col("barcode").alias("item_barcode"), F.col("title").alias("instance_title"), "circ_count")
@@ -79,9 +87,7 @@ def course_term_circ_stats(tables: Tables, term_name: str) -> DataFrame:
     match = (normalised(json_text(F.col("jsonb"), "name")) == wanted) | (normalised(F.col("id")) == wanted)
     rows = _term_circ_stats(tables, "__", match)
     return sorted_by(
-        rows,
-        *("course_number", "course_name", "course_item_end", "item_title", "call_number"),
-        *("item_id", "course_id", "course_listing_id", "item_barcode"),
+        rows, "course_number", "course_name", "course_item_end", "item_title", "call_number", "item_id"
     )
 
 
@@ -90,9 +96,7 @@ def perm_rsrv_curr_circ_stats(tables: Tables, term_name: str = PERMANENT_TERM) -
     match = normalised(json_text(F.col("jsonb"), "name")) == normalised(F.lit(term_name))
     rows = _term_circ_stats(tables, "", match)
     ordered = sorted_by(
-        rows,
-        *("course_name", "course_number", "course_item_end", "item_title", "call_number"),
-        *("item_id", "course_id", "course_listing_id", "item_barcode"),
+        rows, "course_name", "course_number", "course_item_end", "item_title", "call_number", "item_id"
     )
     return ordered.select("course_department", "course_name", "course_number", *rows.columns[4:])
 
@@ -137,29 +141,42 @@ def _term_courses(tables: Tables, version: str, match: Column) -> DataFrame:
     )
 
 
-def _reserve_items(tables: Tables, version: str, listings: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class _Extent:
+    """What the plan needs to know about a term's courses before it is built."""
+
+    rows: int
+    # Days the listings lie between; None where one of them has no start or no end.
+    lowest: str | None
+    highest: str | None
+
+    @classmethod
+    def of(cls, courses: DataFrame) -> _Extent:
+        started, ended = (F.count(F.lit(1)) == F.count(c) for c in ("cls_start", "cls_end"))
+        return cls(
+            *courses.agg(
+                F.count(F.lit(1)),
+                F.when(started, F.min("cls_start")).cast("string"),
+                F.when(ended, F.max("cls_end")).cast("string"),
+            ).first()
+        )
+
+
+def _reserve_items(tables: Tables, version: str, listings: DataFrame, broadcast: bool) -> DataFrame:
     """Newest version of every reserve on the given listings, with the days it was in force there."""
-    reserves = tables["coursereserves_reserves" + version].withColumn("doc", F.from_json("jsonb", RESERVE_DOCUMENT))
-    versions = reserves.select(
-        "id",
-        F.col("courselistingid").alias("clid"),
-        "__start",
-        *[c for c in ("__id",) if c in reserves.columns],
-        F.col("doc.itemId").alias("item_id"),
-        F.left("doc.copiedItem.title", F.lit(80)).alias("item_title"),
-        F.col("doc.copiedItem.barcode").alias("item_barcode"),
-        F.col("doc.copiedItem.callNumber").alias("copied_call_number"),
-    )
+    reserves = tables["coursereserves_reserves" + version]
+    tie = [c for c in ("__id",) if c in reserves.columns]
+    versions = reserves.select("id", F.col("courselistingid").alias("clid"), "__start", *tie, "jsonb")
     # A listing may hold very many reserves.  Filtering by a broadcast leaves them where they
     # are; beyond that size the versions are cut first, by (reserve, listing), which commutes
     # with the filter, and only then meet the listings.
-    if fits_broadcast(listings):
-        kept = latest_per_key(versions.join(F.broadcast(listings), "clid"), ["id", "clid"])
+    if broadcast:
+        kept = latest_per_key(_reserve_fields(versions.join(F.broadcast(listings), "clid")), ["id", "clid"])
     else:
-        kept = latest_per_key(versions, ["id", "clid"]).join(listings, "clid")
+        kept = latest_per_key(_reserve_fields(versions), ["id", "clid"]).join(listings, "clid")
     spans = version_span(reserves, "id")
     first, last = local_day(spans, "first_start"), local_day(spans, "last_end")
-    return kept.join(spans, "id", "left").select(
+    return spread_join(kept, spans, "id", "left").select(
         "clid",
         "item_id",
         "item_title",
@@ -170,33 +187,45 @@ def _reserve_items(tables: Tables, version: str, listings: DataFrame) -> DataFra
     )
 
 
-def _checkouts(tables: Tables, courses: DataFrame) -> DataFrame:
-    """Item and local day of every checkout or renewal that may fall into the courses' listings."""
+def _reserve_fields(versions: DataFrame) -> DataFrame:
+    document = versions.withColumn("doc", F.from_json("jsonb", RESERVE_DOCUMENT))
+    return document.select(
+        *[c for c in versions.columns if c != "jsonb"],
+        F.col("doc.itemId").alias("item_id"),
+        F.left("doc.copiedItem.title", F.lit(80)).alias("item_title"),
+        F.col("doc.copiedItem.barcode").alias("item_barcode"),
+        F.col("doc.copiedItem.callNumber").alias("copied_call_number"),
+    )
+
+
+def _checkouts(tables: Tables, extent: _Extent) -> DataFrame:
+    """Item and local day of every checkout or renewal that may fall into the term's listings."""
     loans = tables["loan__"]
     # A reserve is never in force outside its listing, so the listings bound the scan; two days
     # of slack cover the zone shift, which keeps the bound on the bare column and so pushed down.
-    # A listing without a start or an end leaves that side open.
-    opened, closed = (F.count(F.lit(1)) == F.count(c) for c in ("cls_start", "cls_end"))
-    lowest, highest = courses.agg(
-        F.when(opened, F.min("cls_start")).cast("string"), F.when(closed, F.max("cls_end")).cast("string")
-    ).first()
-    if lowest is not None:
-        loans = loans.where(F.col("creation_date") >= F.date_sub(F.lit(lowest).cast("date"), 2))
-    if highest is not None:
-        loans = loans.where(F.col("creation_date") <= F.date_add(F.lit(highest).cast("date"), 2))
-    return loans.where(F.col("id").isNotNull() & ci_match(json_text(F.col("jsonb"), "action"), CHECKOUT_ACTIONS)).select(
-        json_text(F.col("jsonb"), "itemId").alias("item_id"), local_day(loans, "creation_date").alias("day")
+    if extent.lowest is not None:
+        loans = loans.where(F.col("creation_date") >= F.date_sub(F.lit(extent.lowest).cast("date"), 2))
+    if extent.highest is not None:
+        loans = loans.where(F.col("creation_date") <= F.date_add(F.lit(extent.highest).cast("date"), 2))
+    return (
+        loans.withColumn("doc", F.from_json("jsonb", LOAN_DOCUMENT))
+        .where(F.col("id").isNotNull() & ci_match(F.col("doc.action"), CHECKOUT_ACTIONS))
+        .select(F.col("doc.itemId").alias("item_id"), local_day(loans, "creation_date").alias("day"))
     )
 
 
 def _term_circ_stats(tables: Tables, version: str, match: Column) -> DataFrame:
     # Both staged tables are read several times below, and their true sizes settle the joins.
     courses = staged(_term_courses(tables, version, match), "term-courses")
+    extent = _Extent.of(courses)
     listings = courses.select("clid", "cls_start", "cls_end").distinct()
-    reserves = staged(_reserve_items(tables, version, listings), "reserve-items")
+    reserves = staged(
+        _reserve_items(tables, version, listings, broadcast=extent.rows <= BROADCAST_ROWS), "reserve-items"
+    )
 
     # Live call numbers: only the reserved items' documents are parsed.
-    wanted = reserves.select(uuid_norm(F.col("item_id")).alias("id")).distinct()
+    reserves = reserves.withColumn("shelf_id", uuid_norm(F.col("item_id")))
+    wanted = reserves.select(F.col("shelf_id").alias("id")).distinct()
     number = "doc.effectiveCallNumberComponents"
     shelf = (
         tables["item"]
@@ -211,7 +240,7 @@ def _term_circ_stats(tables: Tables, version: str, match: Column) -> DataFrame:
         )
     )
     checkouts = count_in_spans(
-        _checkouts(tables, courses),
+        _checkouts(tables, extent),
         reserves,
         on="item_id",
         by=["item_barcode", "clid"],
@@ -221,7 +250,7 @@ def _term_circ_stats(tables: Tables, version: str, match: Column) -> DataFrame:
         count="loans",
     )
     return (
-        reserves.join(shelf, uuid_norm(F.col("item_id")) == F.col("shelf_id"), "left")
+        spread_join(reserves, shelf, "shelf_id", "left")
         # Counts are per barcode but are met by item and listing: differing barcodes repeat the row.
         .join(checkouts.drop("item_barcode"), ["item_id", "clid"], "left")
         .join(courses.drop("cls_start", "cls_end"), "clid")

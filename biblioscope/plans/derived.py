@@ -89,21 +89,26 @@ def _named(df: DataFrame, tables: Tables, names: dict[str, tuple[str, str]], wan
     return df.select(*wanted)
 
 
-def item_ext(tables: Tables, columns: Iterable[str] = ITEM_EXT) -> DataFrame:
+def item_ext(tables: Tables, columns: Iterable[str] = ITEM_EXT, only: DataFrame | None = None) -> DataFrame:
     """Items with the fields of their documents and the names behind their ids.
 
     A stored ``item_ext`` relation is read instead when the tables provide one.  With
-    ``columns``, only the joins and document fields those columns need take part.
+    ``columns``, only the joins and document fields those columns need take part; ``only`` holds
+    the ``id`` of the items to read, so that the others are dropped before they are parsed.
     """
+
+    def picked(items: DataFrame) -> DataFrame:
+        return items if only is None else items.join(only, "id", "left_semi")
+
     wanted = list(columns)
     stored = tables.get("item_ext")
     if stored is not None:
-        return stored.select(*wanted)
+        return picked(stored.withColumn("id", F.col("item_id"))).select(*wanted)
 
     flat_columns = {"item_hrid": "hrid", "barcode": "barcode", "enumeration": "enumeration"}
-    items = tables["item"].withColumn("doc", F.from_json("jsonb", ITEM_DOCUMENT))
+    items = picked(tables["item"]).withColumn("doc", F.from_json("jsonb", ITEM_DOCUMENT))
     if flat_columns.keys() & set(wanted):
-        flat = tables["item__t"].select(
+        flat = picked(tables["item__t"]).select(
             F.col("id").alias("_flat_id"), *[F.col(c).alias(f"_{c}") for c in flat_columns.values()]
         )
         items = items.join(flat, F.col("id") == F.col("_flat_id"), "left")

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from biblioscope.functions.documents import absent_or_false, json_text, text_fields
 from biblioscope.functions.text import ci_match, record_link, skip_null_concat
 from biblioscope.operators.contract import sorted_by
+from biblioscope.operators.joins import spread_join
 from biblioscope.sources.tables import Tables
 
 # The address records are linked under; a site passes its own catalogue's.
@@ -53,7 +54,7 @@ def display_inventory_curriculum_collection(
         "effective_location_id",
     )
     # Contributors hang on the instance, so the holdings, fewer than items, are widened first.
-    described = holdings.join(instances, "instance_id").join(contributors, "instance_id")
+    described = spread_join(holdings, contributors.join(instances, "instance_id", "left"), "instance_id")
     return (
         items.join(described, "holdings_id")
         .join(locations, "effective_location_id", "left")

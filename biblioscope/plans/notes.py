@@ -9,6 +9,7 @@ from biblioscope.functions.documents import json_text, text_bool, text_fields, u
 from biblioscope.functions.text import ci_match, class_list_call_number, skip_null_concat
 from biblioscope.operators.aggregates import joined_texts, text_counts
 from biblioscope.operators.contract import sorted_by
+from biblioscope.operators.joins import spread_join
 from biblioscope.operators.lookup import with_name
 from biblioscope.operators.unnest import unnest_json
 from biblioscope.plans.derived import instance_ext, item_ext
@@ -23,7 +24,9 @@ ITEM_NOTE = text_fields("note", "itemNoteTypeId", "staffOnly")
 
 def class_list(tables: Tables, note_string: str | None) -> DataFrame:
     """Items with a matching note: where they stand and what the note says."""
-    notes = tables["item_notes"].where(ci_match(F.col("note"), note_string)).select("item_id", "note")
+    found = tables["item_notes"].where(F.col("item_id").isNotNull() & ci_match(F.col("note"), note_string))
+    # Searched once; the ids alone then pick the items to read and flatten.
+    notes = staged(found.select("item_id", "note"), "class-notes")
     items = item_ext(
         tables,
         [
@@ -37,6 +40,7 @@ def class_list(tables: Tables, note_string: str | None) -> DataFrame:
             "volume",
             "copy_number",
         ],
+        only=notes.select(F.col("item_id").alias("id")).distinct(),
     )
     holdings = tables["holdings_ext"].select(F.col("holdings_id").alias("holdings_record_id"), "instance_id")
     locations = tables["locations_libraries"].select(
@@ -46,7 +50,7 @@ def class_list(tables: Tables, note_string: str | None) -> DataFrame:
         F.col("effective_call_number_prefix"), F.col("effective_call_number"), F.col("volume"), F.col("copy_number")
     )
     rows = (
-        items.join(notes, "item_id")
+        spread_join(notes, items, "item_id")
         .join(locations, "effective_location_id", "left")
         .join(holdings, "holdings_record_id", "left")
         .join(instance_ext(tables, ["instance_id", "title"]), "instance_id", "left")
@@ -139,10 +143,9 @@ def search_notes(tables: Tables, note_string: str | None) -> DataFrame:
     holdings = tables["holdings_ext"].select("holdings_id", "permanent_location_name", "call_number")
     shown = ["item_id", "barcode", "title", "publisher", "date_of_publication"]
     shown += ["permanent_location_name", "call_number"]
+    items = tables["items_holdings_instances"].join(notes.select("item_id"), "item_id", "left_semi")
     described = (
-        tables["items_holdings_instances"]
-        .join(notes.select("item_id"), "item_id", "left_semi")
-        .join(contributors, "instance_id", "left")
+        spread_join(items, contributors, "instance_id", "left")
         .join(holdings, "holdings_id", "left")
         .join(publications, "instance_id", "left")
         .groupBy(*shown)

@@ -49,7 +49,3 @@ def materialise(df: DataFrame, path: str, key: str, partitions: int | None = Non
     split = [partitions, key] if partitions else [key]
     df.repartitionByRange(*split).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    return df.limit(rows + 1).count() <= rows

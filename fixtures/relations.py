@@ -131,7 +131,7 @@ def reserve_versions(d: Spark) -> str:
     order = "partition by l_orderkey, l_linenumber order by l_shipdate, l_partkey, l_suppkey"
     return f"""select {d.text("l_orderkey * 10 + l_linenumber")} as id, l_partkey, l_returnflag, l_shipdate,
         {d.text("l_suppkey")} as courselistingid, lead(l_shipdate) over ({order}) as nxt,
-        row_number() over ({order}) as v from {{lineitem}}"""
+        cast(row_number() over ({order}) as bigint) as v from {{lineitem}}"""
 
 
 def coursereserves_reserves__(d: Spark) -> str:

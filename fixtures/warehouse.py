@@ -54,3 +54,11 @@ def oracle(query: str) -> str:
 
 def _plain(text: str) -> str:
     return text.format(**{name: name for name in _read_by(text)})
+
+
+def land(tables: Tables, root: str, files: int = 8) -> Tables:
+    """Write every relation as Parquet below ``root``, as a warehouse would hold it, and read from there."""
+    for name in RELATIONS:
+        if name != "reserve_versions":
+            tables[name].repartition(files).write.parquet(f"{root}/{name}")
+    return Tables.parquet(tables.spark, root)
