@@ -54,7 +54,7 @@ def display_inventory_curriculum_collection(
         "effective_location_id",
     )
     # Contributors hang on the instance, so the holdings, fewer than items, are widened first.
-    described = spread_join(holdings, contributors.join(instances, "instance_id", "left"), "instance_id")
+    described = spread_join(holdings, contributors.join(instances, "instance_id"), "instance_id")
     return (
         items.join(described, "holdings_id")
         .join(locations, "effective_location_id", "left")

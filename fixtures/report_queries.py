@@ -176,8 +176,8 @@ REPORT_SQL: dict[str, str] = {
             concat('{RECORDS}', if(n.hrid like 'b%', substr(n.hrid, 1, 8), n.hrid)) as link,
             i.barcode as item_barcode, i.id as item_id, i.holdings_record_id as holdings_id
         from {{holdings_record__t}} h join {{item__t}} i on i.holdings_record_id = h.id
-        join {{instance_contributors}} a on a.instance_id = h.instance_id and a.contributor_is_primary
-        left join {{instance__t}} n on n.id = h.instance_id
+        join {{instance__t}} n on n.id = h.instance_id
+        join {{instance_contributors}} a on a.instance_id = n.id and a.contributor_is_primary
         left join {{location__t}} l on l.id = i.effective_location_id
         where h.call_number_prefix = 'Curr'""",
     "r07_duplicate_identifiers": f"""
