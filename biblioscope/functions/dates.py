@@ -24,6 +24,11 @@ def local_day(df: DataFrame, name: str, zone: str = LOCAL_ZONE) -> Column:
     return F.to_date(F.convert_timezone(source, F.lit(zone), F.col(name).cast("timestamp_ntz")))
 
 
+def utc_instant(text: str, kind: T.DataType) -> Column:
+    """A UTC wall clock as a literal of either timestamp type, in any session zone."""
+    return F.lit(text if isinstance(kind, T.TimestampNTZType) else text + "Z").cast(kind)
+
+
 def in_day_range(instant: Column, start: dt.date, end: dt.date) -> Column:
     """Whole days, both ends included. Catalyst pushes this to the scan as an instant range."""
     return F.to_date(instant).between(F.lit(start), F.lit(end))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +13,17 @@ def conform(df: DataFrame, schema: str | T.StructType) -> DataFrame:
     if len(df.columns) != len(declared.fields):
         raise ValueError(f"{len(df.columns)} columns where {len(declared.fields)} are declared")
     renamed = df.toDF(*declared.names)
-    return renamed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in declared.fields])
+    return renamed.select(*[_as_declared(renamed, f).alias(f.name) for f in declared.fields])
+
+
+def _as_declared(df: DataFrame, field: T.StructField) -> Column:
+    column, kind = F.col(field.name), df.schema[field.name].dataType
+    if isinstance(kind, T.TimestampNTZType) and isinstance(field.dataType, T.TimestampType):
+        # A UTC wall clock becomes the instant it stands for, whatever the session's zone.
+        column = F.convert_timezone(F.lit("UTC"), F.current_timezone(), column)
+    if isinstance(kind, T.TimestampType) and isinstance(field.dataType, T.TimestampNTZType):
+        column = F.convert_timezone(None, F.lit("UTC"), column.cast("timestamp_ntz"))
+    return column.cast(field.dataType)
 
 
 def sorted_by(df: DataFrame, *keys: str) -> DataFrame:

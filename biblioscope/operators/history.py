@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Fixed value: ``__end`` of a version that is still open.
-OPEN_END = dt.datetime(9999, 12, 31)
+from biblioscope.functions.dates import utc_instant
+
+# Fixed value: ``__end`` of a version that is still open, in UTC.
+OPEN_END = "9999-12-31 00:00:00"
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: str = "__start") -> DataFrame:
@@ -38,4 +38,5 @@ def current_rows(df: DataFrame) -> DataFrame:
     """Current versions: by the ``__current`` flag, else by an open ``__end``."""
     if "__current" in df.columns:
         return df.where(F.col("__current"))
-    return df.where(F.col("__end").isNull() | (F.col("__end") == F.lit(OPEN_END)))
+    open_end = utc_instant(OPEN_END, df.schema["__end"].dataType)
+    return df.where(F.col("__end").isNull() | (F.col("__end") == open_end))

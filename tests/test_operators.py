@@ -86,6 +86,21 @@ def test_version_span_is_open_when_any_version_is(spark):
     assert sorted(values(history.version_span(frame, "id"))) == [("a", d(1), d(3)), ("b", d(1), None)]
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_open_end_and_contract_hold_in_any_session_zone(spark, kind):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    text = F.lit("9999-12-31 00:00:00" + ("Z" if kind == "timestamp" else ""))
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        frame = spark.range(1).select(text.cast(kind).alias("__end"))
+        assert history.current_rows(frame).count() == 1
+        for declared in ("timestamp", "timestamp_ntz"):
+            conformed = contract.conform(frame, f"__end {declared}")
+            assert history.current_rows(conformed).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_current_rows_by_flag_and_by_open_end(spark):
     flagged = spark.createDataFrame([(1, True), (2, False)], "id int, __current boolean")
     assert [r.id for r in history.current_rows(flagged).collect()] == [1]
