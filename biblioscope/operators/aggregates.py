@@ -18,5 +18,9 @@ def text_counts(df: DataFrame, key: str, text: str, into: str) -> DataFrame:
 def joined_texts(counts: str, text: str, separator: str, copies: Column | None = None) -> Column:
     """The texts of a ``text_counts`` column as one text, every occurrence ``copies`` times."""
     factor = F.lit(1) if copies is None else copies
-    repeated = F.transform(counts, lambda c: F.array_repeat(c[text], (c.times * factor).cast("int")))
-    return F.array_join(F.flatten(repeated), separator)
+
+    def repeated(counted: Column) -> Column:
+        further = (counted.times * factor - 1).cast("int")
+        return F.concat(F.repeat(F.concat(counted[text], F.lit(separator)), further), counted[text])
+
+    return F.array_join(F.transform(counts, repeated), separator)

@@ -85,19 +85,17 @@ def course_term_circ_stats(tables: Tables, term_name: str) -> DataFrame:
     wanted = normalised(F.lit(term_name))
     match = (normalised(json_text(F.col("jsonb"), "name")) == wanted) | (normalised(F.col("id")) == wanted)
     rows = _term_circ_stats(tables, "__", match)
-    return sorted_by(
-        rows, "course_number", "course_name", "course_item_end", "item_title", "call_number", "item_id"
-    )
+    order = ["course_number", "course_name", "course_item_end", "item_title", "call_number"]
+    return sorted_by(rows, *order, "item_id", "_reserve").drop("_reserve")
 
 
 def perm_rsrv_curr_circ_stats(tables: Tables, term_name: str = PERMANENT_TERM) -> DataFrame:
     """The term report for the current versions of the permanent reserves (matched by name only)."""
     match = normalised(json_text(F.col("jsonb"), "name")) == normalised(F.lit(term_name))
     rows = _term_circ_stats(tables, "", match)
-    ordered = sorted_by(
-        rows, "course_name", "course_number", "course_item_end", "item_title", "call_number", "item_id"
-    )
-    return ordered.select("course_department", "course_name", "course_number", *rows.columns[4:])
+    order = ["course_name", "course_number", "course_item_end", "item_title", "call_number"]
+    ordered = sorted_by(rows, *order, "item_id", "_reserve").drop("_reserve")
+    return ordered.select("course_department", "course_name", "course_number", *ordered.columns[4:])
 
 
 def _term_courses(tables: Tables, version: str, match: Column) -> DataFrame:
@@ -132,7 +130,7 @@ def _term_courses(tables: Tables, version: str, match: Column) -> DataFrame:
         F.col("id").alias("department_id"), json_text(F.col("jsonb"), "name").alias("department")
     )
     return (
-        latest_per_key(courses.join(listings, "clid"), ["id"])
+        latest_per_key(spread_join(courses, listings, "clid"), ["id"])
         .join(departments, "department_id", "left")
         .withColumn("course_department", F.coalesce("department", F.lit("")))
         .withColumnRenamed("id", "course_id")
@@ -176,6 +174,7 @@ def _reserve_items(tables: Tables, version: str, listings: DataFrame, broadcast:
     spans = version_span(reserves, "id")
     first, last = local_day(spans, "first_start"), local_day(spans, "last_end")
     return spread_join(kept, spans, "id", "left").select(
+        F.col("id").alias("_reserve"),
         "clid",
         "item_id",
         "item_title",
@@ -272,5 +271,7 @@ def _term_circ_stats(tables: Tables, version: str, match: Column) -> DataFrame:
             F.col("clid").alias("course_listing_id"),
             "course_id",
             "item_id",
+            # Not shown: tells rows apart in the sort, so that equal ones need not share a task.
+            "_reserve",
         )
     )

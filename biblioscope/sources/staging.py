@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 BROADCAST_ROWS = 200_000
 
 
+# Tables this process has staged and not discarded.
+_written: list[str] = []
+
+
 @functools.cache
 def _single_machine_folder() -> str:
     folder = tempfile.mkdtemp(prefix="biblioscope-")
@@ -40,10 +44,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     if folder is None:
         return df
     path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard_staged(spark: SparkSession) -> None:
+    """Delete the tables staged so far, once the reports that read them have been consumed."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, path: str, key: str, partitions: int | None = None) -> DataFrame:
     """Write a derived table clustered by ``key``, so that reads by key skip row groups."""
     split = [partitions, key] if partitions else [key]

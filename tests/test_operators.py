@@ -1,6 +1,7 @@
 """Operators against plain Python on small frames."""
 
 import datetime as dt
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -313,6 +314,14 @@ def test_staged_table_lies_in_the_shared_folder_and_keeps_types(spark):
     assert staging.shared_folder(spark) in kept.inputFiles()[0]
 
 
+def test_discarding_deletes_what_was_staged(spark):
+    kept = staging.staged(spark.range(3).toDF("id"), "kept")
+    path = kept.inputFiles()[0].removeprefix("file:")
+    assert os.path.exists(path)
+    staging.discard_staged(spark)
+    assert not os.path.exists(path) and not staging._written
+
+
 def test_materialised_table_is_clustered_by_key(spark, tmp_path):
     frame = spark.range(1000).select(F.col("id").cast("string").alias("item_id"))
     stored = staging.materialise(frame, str(tmp_path / "t"), "item_id", partitions=4)
