@@ -1,6 +1,7 @@
 """Library-services reports (inventory, circulation, course reserves) as Spark jobs."""
 
 from biblioscope.plans.catalog import REPORTS, reports_catalog, run
+from biblioscope.plans.derived import store_derived
 from biblioscope.sources.tables import Tables
 
-__all__ = ["REPORTS", "Tables", "reports_catalog", "run"]
+__all__ = ["REPORTS", "Tables", "reports_catalog", "run", "store_derived"]

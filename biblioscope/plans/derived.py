@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from biblioscope.functions.documents import flag, json_instant, text_bool, text_fields, uuid_norm
 from biblioscope.operators.lookup import with_name
 from biblioscope.operators.unnest import unnest_json
+from biblioscope.sources.staging import materialise
 from biblioscope.sources.tables import Tables
 
 ITEM_DOCUMENT = text_fields(
@@ -201,6 +202,9 @@ def _project(
 
 def item_circulation_notes(tables: Tables) -> DataFrame:
     """One row per circulation note of an item, numbered in document order."""
+    stored = tables.get("item_circulation_notes")
+    if stored is not None:
+        return stored
     items = tables["item"].select(F.col("id").alias("item_id"), "jsonb")
     notes = unnest_json(items, "jsonb", "circulationNotes", CIRCULATION_NOTE, "n", "ordinality")
     return notes.select(
@@ -211,3 +215,16 @@ def item_circulation_notes(tables: Tables) -> DataFrame:
         text_bool(F.col("n.staffOnly")).alias("staff_only"),
         F.col("ordinality").cast("bigint").alias("ordinality"),
     )
+
+
+def store_derived(tables: Tables, root: str) -> Tables:
+    """Write the derived tables below ``root``; reports on the returned tables read them from there."""
+    return tables.having(
+        {
+            "item_ext": materialise(item_ext(tables), f"{root}/item_ext", "item_id"),
+            "instance_ext": materialise(instance_ext(tables), f"{root}/instance_ext", "instance_id"),
+            "item_circulation_notes": materialise(
+                item_circulation_notes(tables), f"{root}/item_circulation_notes", "item_id", "ordinality"
+            ),
+        }
+    )

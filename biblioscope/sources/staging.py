@@ -56,8 +56,11 @@ def discard_staged(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialise(df: DataFrame, path: str, key: str, partitions: int | None = None) -> DataFrame:
-    """Write a derived table clustered by ``key``, so that reads by key skip row groups."""
-    split = [partitions, key] if partitions else [key]
-    df.repartitionByRange(*split).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
+def materialise(df: DataFrame, path: str, *keys: str, partitions: int | None = None) -> DataFrame:
+    """Write a derived table clustered by ``keys``, so that reads by key skip row groups.
+
+    Keys that tell rows apart let the rows of one hot first key lie in several files.
+    """
+    split = [partitions, *keys] if partitions else keys
+    df.repartitionByRange(*split).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)

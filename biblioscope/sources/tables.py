@@ -46,6 +46,10 @@ class Tables:
 
         return cls(spark, find)
 
+    def having(self, frames: Mapping[str, DataFrame]) -> Tables:
+        """The same relations with some added or replaced."""
+        return Tables(self.spark, lambda name: frames[name] if name in frames else self.get(name))
+
     def get(self, name: str) -> DataFrame | None:
         if name not in self._known:
             frame = self._find(name)

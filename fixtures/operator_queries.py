@@ -39,9 +39,11 @@ def _(t: Tables) -> DataFrame:
     return t["item__t"]
 
 
-@_check("op_history_scan", "select id, courselistingid, __start, __end from {coursereserves_reserves__}")
+@_check("op_history_scan", "select id, courselistingid, __start as started, __end as ended from {coursereserves_reserves__}")
 def _(t: Tables) -> DataFrame:
-    return t["coursereserves_reserves__"].select("id", "courselistingid", "__start", "__end")
+    return t["coursereserves_reserves__"].select(
+        "id", "courselistingid", c("__start").alias("started"), c("__end").alias("ended")
+    )
 
 
 @_check("op_current_rows", "select id, barcode from {item__t__} where __current")
@@ -313,13 +315,13 @@ def _(t: Tables) -> DataFrame:
 
 @_check(
     "op_json_first_element",
-    f"""select id, __start, coalesce({json_sql("instructorObjects[0].name")}, '') as instructor
+    f"""select id, __start as started, coalesce({json_sql("instructorObjects[0].name")}, '') as instructor
     from {{coursereserves_courselistings__}}""",
 )
 def _(t: Tables) -> DataFrame:
     first = documents.json_text(c("jsonb"), "instructorObjects", 0, "name")
     return t["coursereserves_courselistings__"].select(
-        "id", "__start", F.coalesce(first, F.lit("")).alias("instructor")
+        "id", c("__start").alias("started"), F.coalesce(first, F.lit("")).alias("instructor")
     )
 
 
@@ -398,12 +400,13 @@ def _(t: Tables) -> DataFrame:
 
 @_check(
     "op_latest_per_key",
-    """select id, courselistingid, __start, __id as version from {coursereserves_reserves__}
+    """select id, courselistingid, __start as started, __id as version from {coursereserves_reserves__}
     qualify row_number() over (partition by id, courselistingid order by __start desc, __id desc) = 1""",
 )
 def _(t: Tables) -> DataFrame:
     versions = t["coursereserves_reserves__"].select("id", "courselistingid", "__start", "__id")
-    return history.latest_per_key(versions, ["id", "courselistingid"]).withColumnRenamed("__id", "version")
+    latest = history.latest_per_key(versions, ["id", "courselistingid"])
+    return latest.withColumnsRenamed({"__start": "started", "__id": "version"})
 
 
 @_check("op_first_per_key", "select id, min(__start) as first_start from {coursereserves_reserves__} group by id")

@@ -1,12 +1,13 @@
 """The report registry: forms, argument handling and declared types."""
 
 import datetime as dt
+from collections import Counter
 
 import pytest
 from pyspark.sql import types as T
 
 import biblioscope.plans.catalog as catalog
-from biblioscope import REPORTS, reports_catalog, run
+from biblioscope import REPORTS, reports_catalog, run, store_derived
 from fixtures.warehouse import warehouse
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -59,6 +60,18 @@ ARGUMENTS = {
 }
 
 
+def test_reports_read_the_stored_derived_tables(tables, tmp_path):
+    stored = store_derived(tables, str(tmp_path))
+    calls = [
+        ("item_ext", {}), ("instance_ext", {}), ("item_circulation_notes", {}),
+        ("class_list", {"note_string": "src1"}), ("circ_stats_course_reserves", {"circ_stat_course_name": "supplier"}),
+    ]
+    for name, arguments in calls:
+        frame = run(stored, name, **arguments)
+        assert any(str(tmp_path) in file for file in frame.inputFiles())
+        assert Counter(map(repr, frame.collect())) == Counter(map(repr, run(tables, name, **arguments).collect()))
+
+
 @pytest.mark.parametrize("name", REPORTS)
 def test_report_has_its_declared_types(name, tables):
     frame = run(tables, name, **ARGUMENTS.get(name, {}))
