@@ -56,11 +56,10 @@ def circ_stats_course_reserves(
     )
     counts = (
         tables["loans_items"]
-        .where(in_day_range(F.col("loan_date"), start_date, end_date))
+        .where(F.col("loan_id").isNotNull() & in_day_range(F.col("loan_date"), start_date, end_date))
         .groupBy("item_id")
         .agg(F.count("loan_id").alias("circ_count"))
         .join(reserved, "item_id", "left_semi")
-        .where("circ_count >= 1")
     )
     holdings = tables["holdings_ext"].select(F.col("holdings_id").alias("holdings_record_id"), "instance_id")
     items = item_ext(
@@ -171,7 +170,10 @@ def _reserve_items(tables: Tables, version: str, listings: DataFrame, broadcast:
         kept = latest_per_key(_reserve_fields(versions.join(F.broadcast(listings), "clid")), ["id", "clid"])
     else:
         kept = latest_per_key(_reserve_fields(versions), ["id", "clid"]).join(listings, "clid")
-    spans = version_span(reserves, "id")
+    kept = staged(kept, "term-reserves")
+    # All versions of the kept reserves, whatever their listing.  With few reserves this semi
+    # join moves down to the scan, so that the history of the others is not shuffled.
+    spans = version_span(reserves, "id").join(kept.select("id").distinct(), "id", "left_semi")
     first, last = local_day(spans, "first_start"), local_day(spans, "last_end")
     return spread_join(kept, spans, "id", "left").select(
         F.col("id").alias("_reserve"),

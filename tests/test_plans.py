@@ -101,6 +101,14 @@ def test_date_range_reaches_the_scan(tables):
     assert "loan_date" in scan.split("DataFilters")[1]
 
 
+def test_few_keys_filter_events_before_they_are_counted(tables):
+    for name, event in [("circ_stats_course_reserves", "loan_id"), ("course_term_circ_stats", "creation_date")]:
+        above_scan = plan(run(tables, name, **REPORTS[name])).split("FileScan")
+        place = next(i for i, part in enumerate(above_scan) if part.startswith(" parquet") and f"{event}#" in part[:60])
+        steps = re.findall(r"LeftSemi|HashAggregate", above_scan[place - 1])
+        assert steps[-1] == "LeftSemi"
+
+
 def test_latest_version_is_cut_before_the_shuffle(spark):
     frame = spark.createDataFrame([("a", None, 1)], "id string, __start timestamp_ntz, __id int")
     assert "WindowGroupLimit" in plan(history.latest_per_key(frame, ["id"])).split("Exchange")[1]
