@@ -12,9 +12,9 @@ from biblioscope import Tables
 from biblioscope.functions import dates, documents, text
 from biblioscope.operators import aggregates, contract, history, lookup, spans, unnest
 from biblioscope.plans import courses, derived, inventory, notes
-from fixtures.report_queries import _day as day_sql
-from fixtures.report_queries import _elements as elements_sql
-from fixtures.report_queries import _j as json_sql
+from fixtures.oracle_text import elements as elements_sql
+from fixtures.oracle_text import json_text as json_sql
+from fixtures.oracle_text import local_day as day_sql
 
 c = F.col
 Query = Callable[[Tables], DataFrame]

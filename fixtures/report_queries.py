@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from biblioscope import Tables, run
+from fixtures.oracle_text import elements, json_text, local_day
 
 RECORDS = "https://catalog.example.org/Record/"
 
@@ -62,49 +63,33 @@ REPORT_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
-def _j(path: str, document: str = "jsonb") -> str:
-    return f"json_extract_string({document}, '$.{path}')"
-
-
-def _day(instant: str) -> str:
-    return f"cast(({instant} at time zone 'UTC') at time zone 'US/Pacific' as date)"
-
-
-def _elements(relation: str, key: str, columns: str) -> str:
-    """Array elements of a document as ``n``, numbered from 1 as ``ord``."""
-    path = f"'$.{key}'"
-    return f"""(select {columns}, unnest(from_json(json_extract(jsonb, {path}), '["JSON"]')) as n,
-        unnest(range(1, cast(json_array_length(jsonb, {path}) as bigint) + 1)) as ord
-        from {{{relation}}} where json_type(jsonb, {path}) = 'ARRAY')"""
-
-
 def _term_report(version: str, match: str, head: str) -> str:
     """The term reports; ``version`` is the condition that keeps the versions they look at."""
-    number = _j("effectiveCallNumberComponents.callNumber", "i.jsonb")
-    first, last = _day("s.first_start"), _day("s.last_end")
+    number = json_text("effectiveCallNumberComponents.callNumber", "i.jsonb")
+    first, last = local_day("s.first_start"), local_day("s.last_end")
     return f"""with listings as (
-        select l.id as clid, {_j("name", "t.jsonb")} as course_term,
-            coalesce({_j("instructorObjects[0].name", "l.jsonb")}, '') as primary_instructor,
-            {_day("l.__start")} as opened, {_day("l.__end")} as closed
-        from {{coursereserves_courselistings__}} l join {{coursereserves_terms}} t on t.id = {_j("termId", "l.jsonb")}
+        select l.id as clid, {json_text("name", "t.jsonb")} as course_term,
+            coalesce({json_text("instructorObjects[0].name", "l.jsonb")}, '') as primary_instructor,
+            {local_day("l.__start")} as opened, {local_day("l.__end")} as closed
+        from {{coursereserves_courselistings__}} l join {{coursereserves_terms}} t on t.id = {json_text("termId", "l.jsonb")}
         where ({match}) and {version.format("l")}
         qualify row_number() over (partition by l.id order by l.__start desc) = 1),
     courses as (
-        select l.*, c.id as course_id, {_j("name", "c.jsonb")} as course_name,
-            coalesce({_j("courseNumber", "c.jsonb")}, '') as course_number,
-            coalesce({_j("name", "d.jsonb")}, '') as course_department
-        from {{coursereserves_courses__}} c join listings l on l.clid = {_j("courseListingId", "c.jsonb")}
-        left join {{coursereserves_departments}} d on d.id = {_j("departmentId", "c.jsonb")}
+        select l.*, c.id as course_id, {json_text("name", "c.jsonb")} as course_name,
+            coalesce({json_text("courseNumber", "c.jsonb")}, '') as course_number,
+            coalesce({json_text("name", "d.jsonb")}, '') as course_department
+        from {{coursereserves_courses__}} c join listings l on l.clid = {json_text("courseListingId", "c.jsonb")}
+        left join {{coursereserves_departments}} d on d.id = {json_text("departmentId", "c.jsonb")}
         where {version.format("c")}
         qualify row_number() over (partition by c.id order by c.__start desc) = 1),
     reserved as (
-        select v.clid, {_j("itemId", "v.jsonb")} as item_id,
-            substr({_j("copiedItem.title", "v.jsonb")}, 1, 80) as item_title,
-            {_j("copiedItem.barcode", "v.jsonb")} as item_barcode,
-            if({number} is null, {_j("copiedItem.callNumber", "v.jsonb")},
-                trim(concat({_j("effectiveCallNumberComponents.prefix", "i.jsonb")}, ' ', {number},
-                    ' ' || {_j("volume", "i.jsonb")},
-                    if({_j("copyNumber", "i.jsonb")} <> '1', ' c.' || {_j("copyNumber", "i.jsonb")}, null)))
+        select v.clid, {json_text("itemId", "v.jsonb")} as item_id,
+            substr({json_text("copiedItem.title", "v.jsonb")}, 1, 80) as item_title,
+            {json_text("copiedItem.barcode", "v.jsonb")} as item_barcode,
+            if({number} is null, {json_text("copiedItem.callNumber", "v.jsonb")},
+                trim(concat({json_text("effectiveCallNumberComponents.prefix", "i.jsonb")}, ' ', {number},
+                    ' ' || {json_text("volume", "i.jsonb")},
+                    if({json_text("copyNumber", "i.jsonb")} <> '1', ' c.' || {json_text("copyNumber", "i.jsonb")}, null)))
             ) as call_number,
             if(v.opened > {first}, v.opened, {first}) as opens, if(v.closed < {last}, v.closed, {last}) as closes
         from (select h.*, a.* from {{coursereserves_reserves__}} h
@@ -114,12 +99,12 @@ def _term_report(version: str, match: str, head: str) -> str:
         join (select id, min(__start) as first_start,
                 case when bool_and(__end is not null) then max(__end) end as last_end
                 from {{coursereserves_reserves__}} h where {version.format("h")} group by id) s on s.id = v.id
-        left join {{item}} i on i.id = {_j("itemId", "v.jsonb")}),
+        left join {{item}} i on i.id = {json_text("itemId", "v.jsonb")}),
     checkouts as (
         select r.item_id, r.item_barcode, r.clid, count(*) as loans
-        from {{loan__}} n join reserved r on r.item_id = {_j("itemId", "n.jsonb")}
-            and {_day("n.creation_date")} between r.opens and r.closes
-        where lower({_j("action", "n.jsonb")}) in
+        from {{loan__}} n join reserved r on r.item_id = {json_text("itemId", "n.jsonb")}
+            and {local_day("n.creation_date")} between r.opens and r.closes
+        where lower({json_text("action", "n.jsonb")}) in
             ('checkedout', 'checkedoutthroughoverride', 'renewed', 'renewedthroughoverride')
         group by all)
     select {head}, primary_instructor, cast(coalesce(loans, 0) as bigint) as checkout_count, item_title,
@@ -144,10 +129,10 @@ REPORT_SQL: dict[str, str] = {
             where regexp_matches(c.name, '(?i)SUPPLIER#0+[0-9]*[01]$'))""",
     "r02_class_list": f"""
         select distinct t.barcode as item_barcode, b.location_code, l.name as location_name,
-            trim(concat({_j("effectiveCallNumberComponents.prefix", "i.jsonb")}, ' ',
-                {_j("effectiveCallNumberComponents.callNumber", "i.jsonb")}, ' ',
-                {_j("effectiveCallNumberComponents.callNumber", "i.jsonb")}, ' ',
-                {_j("volume", "i.jsonb")}, ' ', {_j("copyNumber", "i.jsonb")})) as item_call_number,
+            trim(concat({json_text("effectiveCallNumberComponents.prefix", "i.jsonb")}, ' ',
+                {json_text("effectiveCallNumberComponents.callNumber", "i.jsonb")}, ' ',
+                {json_text("effectiveCallNumberComponents.callNumber", "i.jsonb")}, ' ',
+                {json_text("volume", "i.jsonb")}, ' ', {json_text("copyNumber", "i.jsonb")})) as item_call_number,
             n.title as instance_title, o.note as item_note
         from {{item_notes}} o join {{item}} i on i.id = o.item_id
         left join {{item__t}} t on t.id = i.id
@@ -167,7 +152,7 @@ REPORT_SQL: dict[str, str] = {
         where c.item_status_prior_to_check_in = 'Available'""",
     "r05_course_term_circ_stats": _term_report(
         "true",
-        f"lower({_j('name', 't.jsonb')}) = 'america' or t.id = 'america'",
+        f"lower({json_text('name', 't.jsonb')}) = 'america' or t.id = 'america'",
         "course_term, course_department, course_number, course_name",
     ),
     "r06_inventory_by_prefix": f"""
@@ -181,22 +166,22 @@ REPORT_SQL: dict[str, str] = {
         left join {{location__t}} l on l.id = i.effective_location_id
         where h.call_number_prefix = 'Curr'""",
     "r07_duplicate_identifiers": f"""
-        select count(distinct id) as dup_count, {_j("identifierTypeId", "n")} as id_type,
-            {_j("value", "n")} as oclc_number
-        from {_elements("instance", "identifiers", "id, jsonb")}
-        where {_j("identifierTypeId", "n")} = 'oclc'
-        and coalesce({_j("staffSuppress")}, 'false') = 'false'
-        and not regexp_matches({_j("statisticalCodeIds")}, '(?i)"known-dup"')
+        select count(distinct id) as dup_count, {json_text("identifierTypeId", "n")} as id_type,
+            {json_text("value", "n")} as oclc_number
+        from {elements("instance", "identifiers", "id, jsonb")}
+        where {json_text("identifierTypeId", "n")} = 'oclc'
+        and coalesce({json_text("staffSuppress")}, 'false') = 'false'
+        and not regexp_matches({json_text("statisticalCodeIds")}, '(?i)"known-dup"')
         group by all having count(distinct id) > 1""",
     "r08_notes_of_type": f"""
-        select cast(s.discovery_suppress as varchar) as discovery_suppress, {_j("hrid", "i.jsonb")} as item_hrid,
-            h.hrid as holdings_hrid, l.name as item_location, {_j("barcode", "i.jsonb")} as barcode,
-            {_j("formerIds", "i.jsonb")} as formerids, h.call_number,
-            {_j("effectiveShelvingOrder", "i.jsonb")} as shelving_order, m.name as material_type, s.title,
-            y.name as note_type_name, {_j("note", "i.n")} as note, {_j("staffOnly", "i.n")} as staff_only,
+        select cast(s.discovery_suppress as varchar) as discovery_suppress, {json_text("hrid", "i.jsonb")} as item_hrid,
+            h.hrid as holdings_hrid, l.name as item_location, {json_text("barcode", "i.jsonb")} as barcode,
+            {json_text("formerIds", "i.jsonb")} as formerids, h.call_number,
+            {json_text("effectiveShelvingOrder", "i.jsonb")} as shelving_order, m.name as material_type, s.title,
+            y.name as note_type_name, {json_text("note", "i.n")} as note, {json_text("staffOnly", "i.n")} as staff_only,
             cast(i.ord as integer) as note_ordinality
-        from {_elements("item", "notes", "*")} i
-        join {{item_note_type__t}} y on y.id = {_j("itemNoteTypeId", "i.n")} and y.id = '1'
+        from {elements("item", "notes", "*")} i
+        join {{item_note_type__t}} y on y.id = {json_text("itemNoteTypeId", "i.n")} and y.id = '1'
         left join {{holdings_record__t}} h on h.id = i.holdingsrecordid
         left join {{instance__t}} s on s.id = h.instance_id
         left join {{location__t}} l on l.id = i.effectivelocationid
@@ -208,52 +193,52 @@ REPORT_SQL: dict[str, str] = {
             t.source as instance_source, coalesce(t.discovery_suppress, false) as discovery_suppress,
             coalesce(t.staff_suppress, false) as staff_suppress, t.status_id, s.name as status_name,
             t.status_updated_date, t.source as record_source,
-            cast({_j("metadata.createdDate", "r.jsonb")} as timestamptz) at time zone 'UTC' as record_created_date,
-            lower({_j("metadata.updatedByUserId", "r.jsonb")}) as updated_by_user_id,
-            cast({_j("metadata.updatedDate", "r.jsonb")} as timestamptz) at time zone 'UTC' as updated_date,
-            lower({_j("matchKey", "r.jsonb")}) as match_key,
-            coalesce(cast({_j("isBoundWith", "r.jsonb")} as boolean), false) as is_bound_with
+            cast({json_text("metadata.createdDate", "r.jsonb")} as timestamptz) at time zone 'UTC' as record_created_date,
+            lower({json_text("metadata.updatedByUserId", "r.jsonb")}) as updated_by_user_id,
+            cast({json_text("metadata.updatedDate", "r.jsonb")} as timestamptz) at time zone 'UTC' as updated_date,
+            lower({json_text("matchKey", "r.jsonb")}) as match_key,
+            coalesce(cast({json_text("isBoundWith", "r.jsonb")} as boolean), false) as is_bound_with
         from {{instance__t}} t left join {{instance}} r on r.id = t.id
         left join {{instance_type__t}} k on k.id = t.instance_type_id
         left join {{mode_of_issuance__t}} m on m.id = t.mode_of_issuance_id
         left join {{instance_status__t}} s on s.id = t.status_id""",
     "r10_item_circulation_notes": f"""
-        select id as item_id, lower({_j("id", "n")}) as note_id, {_j("note", "n")} as note,
-            {_j("noteType", "n")} as note_type, cast({_j("staffOnly", "n")} as boolean) as staff_only,
+        select id as item_id, lower({json_text("id", "n")}) as note_id, {json_text("note", "n")} as note,
+            {json_text("noteType", "n")} as note_type, cast({json_text("staffOnly", "n")} as boolean) as staff_only,
             ord as ordinality
-        from {_elements("item", "circulationNotes", "id")}""",
+        from {elements("item", "circulationNotes", "id")}""",
     "r11_item_ext": f"""
-        select i.id as item_id, t.hrid as item_hrid, {_j("accessionNumber", "i.jsonb")} as accession_number, t.barcode,
-            {_j("chronology", "i.jsonb")} as chronology, {_j("copyNumber", "i.jsonb")} as copy_number, t.enumeration,
-            {_j("volume", "i.jsonb")} as volume,
-            {_j("inTransitDestinationServicePointId", "i.jsonb")} as in_transit_destination_service_point_id,
-            sp.name as in_transit_destination_service_point_name, {_j("itemIdentifier", "i.jsonb")} as identifier,
-            {_j("itemLevelCallNumber", "i.jsonb")} as call_number,
-            {_j("itemLevelCallNumberTypeId", "i.jsonb")} as call_number_type_id, ct.name as call_number_type_name,
-            {_j("effectiveCallNumberComponents.prefix", "i.jsonb")} as effective_call_number_prefix,
-            {_j("effectiveCallNumberComponents.callNumber", "i.jsonb")} as effective_call_number,
-            {_j("effectiveCallNumberComponents.suffix", "i.jsonb")} as effective_call_number_suffix,
-            {_j("effectiveCallNumberComponents.typeId", "i.jsonb")} as effective_call_number_type_id,
-            et.name as effective_call_number_type_name, {_j("itemDamagedStatusId", "i.jsonb")} as damaged_status_id,
+        select i.id as item_id, t.hrid as item_hrid, {json_text("accessionNumber", "i.jsonb")} as accession_number, t.barcode,
+            {json_text("chronology", "i.jsonb")} as chronology, {json_text("copyNumber", "i.jsonb")} as copy_number, t.enumeration,
+            {json_text("volume", "i.jsonb")} as volume,
+            {json_text("inTransitDestinationServicePointId", "i.jsonb")} as in_transit_destination_service_point_id,
+            sp.name as in_transit_destination_service_point_name, {json_text("itemIdentifier", "i.jsonb")} as identifier,
+            {json_text("itemLevelCallNumber", "i.jsonb")} as call_number,
+            {json_text("itemLevelCallNumberTypeId", "i.jsonb")} as call_number_type_id, ct.name as call_number_type_name,
+            {json_text("effectiveCallNumberComponents.prefix", "i.jsonb")} as effective_call_number_prefix,
+            {json_text("effectiveCallNumberComponents.callNumber", "i.jsonb")} as effective_call_number,
+            {json_text("effectiveCallNumberComponents.suffix", "i.jsonb")} as effective_call_number_suffix,
+            {json_text("effectiveCallNumberComponents.typeId", "i.jsonb")} as effective_call_number_type_id,
+            et.name as effective_call_number_type_name, {json_text("itemDamagedStatusId", "i.jsonb")} as damaged_status_id,
             ds.name as damaged_status_name, i.materialtypeid as material_type_id, mt.name as material_type_name,
-            {_j("numberOfPieces", "i.jsonb")} as number_of_pieces,
-            {_j("numberOfMissingPieces", "i.jsonb")} as number_of_missing_pieces,
+            {json_text("numberOfPieces", "i.jsonb")} as number_of_pieces,
+            {json_text("numberOfMissingPieces", "i.jsonb")} as number_of_missing_pieces,
             i.permanentloantypeid as permanent_loan_type_id, pt.name as permanent_loan_type_name,
             i.temporaryloantypeid as temporary_loan_type_id, tt.name as temporary_loan_type_name,
             i.permanentlocationid as permanent_location_id, pl.name as permanent_location_name,
             i.temporarylocationid as temporary_location_id, tl.name as temporary_location_name,
             i.effectivelocationid as effective_location_id, el.name as effective_location_name,
-            {_j("descriptionOfPieces", "i.jsonb")} as description_of_pieces,
-            {_j("status.date", "i.jsonb")} as status_date, {_j("status.name", "i.jsonb")} as status_name,
+            {json_text("descriptionOfPieces", "i.jsonb")} as description_of_pieces,
+            {json_text("status.date", "i.jsonb")} as status_date, {json_text("status.name", "i.jsonb")} as status_name,
             i.holdingsrecordid as holdings_record_id,
-            cast({_j("discoverySuppress", "i.jsonb")} as boolean) as discovery_suppress,
-            i.creation_date as created_date, lower({_j("metadata.updatedByUserId", "i.jsonb")}) as updated_by_user_id,
-            {_j("metadata.updatedDate", "i.jsonb")} as updated_date
+            cast({json_text("discoverySuppress", "i.jsonb")} as boolean) as discovery_suppress,
+            i.creation_date as created_date, lower({json_text("metadata.updatedByUserId", "i.jsonb")}) as updated_by_user_id,
+            {json_text("metadata.updatedDate", "i.jsonb")} as updated_date
         from {{item}} i left join {{item__t}} t on t.id = i.id
-        left join {{service_point__t}} sp on sp.id = {_j("inTransitDestinationServicePointId", "i.jsonb")}
-        left join {{call_number_type__t}} ct on ct.id = {_j("itemLevelCallNumberTypeId", "i.jsonb")}
-        left join {{call_number_type__t}} et on et.id = {_j("effectiveCallNumberComponents.typeId", "i.jsonb")}
-        left join {{item_damaged_status__t}} ds on ds.id = {_j("itemDamagedStatusId", "i.jsonb")}
+        left join {{service_point__t}} sp on sp.id = {json_text("inTransitDestinationServicePointId", "i.jsonb")}
+        left join {{call_number_type__t}} ct on ct.id = {json_text("itemLevelCallNumberTypeId", "i.jsonb")}
+        left join {{call_number_type__t}} et on et.id = {json_text("effectiveCallNumberComponents.typeId", "i.jsonb")}
+        left join {{item_damaged_status__t}} ds on ds.id = {json_text("itemDamagedStatusId", "i.jsonb")}
         left join {{material_type__t}} mt on mt.id = i.materialtypeid
         left join {{loan_type__t}} pt on pt.id = i.permanentloantypeid
         left join {{loan_type__t}} tt on tt.id = i.temporaryloantypeid
@@ -262,7 +247,7 @@ REPORT_SQL: dict[str, str] = {
         left join {{location__t}} el on el.id = i.effectivelocationid""",
     "r12_perm_reserve_circ_stats": _term_report(
         "({0}.__end is null or {0}.__end = timestamp '9999-12-31')",
-        f"lower({_j('name', 't.jsonb')}) = 'africa'",
+        f"lower({json_text('name', 't.jsonb')}) = 'africa'",
         "course_department, course_name, course_number",
     ),
     "r13_zero_use_items": """

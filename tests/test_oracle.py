@@ -33,6 +33,17 @@ def test_every_query_has_an_oracle():
     assert QUERIES.keys() == SQL.keys()
 
 
+@pytest.mark.parametrize("name", [name for name in QUERIES if name.startswith("r")])
+def test_report_agrees_with_sql_where_nothing_is_broadcast(name, spark, duck, monkeypatch):
+    monkeypatch.setattr("biblioscope.plans.courses.BROADCAST_ROWS", 0)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        test_query_agrees_with_sql(name, spark, duck)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_agrees_with_sql(name, spark, duck):
     frame = QUERIES[name](spark, SF_DIR)

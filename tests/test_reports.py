@@ -60,16 +60,19 @@ def world(spark):
     """Tables from lists of dicts; absent columns are NULL, absent relations empty, documents JSON."""
 
     def build(**relations):
-        frames = {}
-        for name, schema in {**SCHEMAS, **{c: "id string, name string" for c in CODES}}.items():
-            fields = [part.split()[0] for part in schema.split(",")]
-            records = [
-                tuple(json.dumps(r[f]) if f == "jsonb" and f in r else r.get(f) for f in fields)
-                for r in relations.get(name, [])
-            ]
-            assert all(set(r) <= set(fields) for r in relations.get(name, [])), name
-            frames[name] = spark.createDataFrame(records, schema)
-        return Tables.of(spark, frames)
+        schemas = {**SCHEMAS, **{c: "id string, name string" for c in CODES}}
+        assert relations.keys() <= schemas.keys()
+
+        def find(name):
+            if name not in schemas:
+                return None
+            fields = [part.split()[0] for part in schemas[name].split(",")]
+            given = relations.get(name, [])
+            assert all(set(r) <= set(fields) for r in given), name
+            records = [tuple(json.dumps(r[f]) if f == "jsonb" and f in r else r.get(f) for f in fields) for r in given]
+            return spark.createDataFrame(records, schemas[name])
+
+        return Tables(spark, find)
 
     return build
 
