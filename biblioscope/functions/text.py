@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 def ci_match(text: Column, pattern: str | None) -> Column:
     """Case-insensitive search for ``pattern`` anywhere in ``text``.
 
-    Patterns are Java regular expressions.  A NULL pattern matches nothing, and a NULL
-    text gives NULL, so that a filter on either the match or its negation drops the row.
+    Patterns are Java regular expressions in which ``.`` matches line ends too, as it does in the
+    database.  A NULL pattern matches nothing, and a NULL text gives NULL, so that a filter on
+    either the match or its negation drops the row.
     """
     if pattern is None:
         return F.lit(None).cast("boolean")
-    return text.rlike("(?iu)" + pattern)
+    return text.rlike("(?ius)" + pattern)
 
 
 def skip_null_concat(*parts: Column) -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +19,8 @@ from biblioscope.sources.staging import BROADCAST_ROWS, staged
 from biblioscope.sources.tables import Tables
 
 # Loan actions that count as a checkout, and the term of the permanent reserves.
-CHECKOUT_ACTIONS = "^(checkedout|checkedOutThroughOverride|renewed|renewedThroughOverride)$"
+# ``\z`` is the very end of the text, where Java's ``$`` would allow a line end after it.
+CHECKOUT_ACTIONS = r"^(checkedout|checkedOutThroughOverride|renewed|renewedThroughOverride)\z"
 PERMANENT_TERM = "permanent"
 
 RESERVE_DOCUMENT = text_fields("itemId", copiedItem=text_fields("title", "barcode", "callNumber"))
@@ -137,27 +137,6 @@ def _term_courses(tables: Tables, version: str, match: Column) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
-class _Extent:
-    """What the plan needs to know about a term's courses before it is built."""
-
-    rows: int
-    # Days the listings lie between; None where one of them has no start or no end.
-    lowest: str | None
-    highest: str | None
-
-    @classmethod
-    def of(cls, courses: DataFrame) -> _Extent:
-        started, ended = (F.count(F.lit(1)) == F.count(c) for c in ("cls_start", "cls_end"))
-        return cls(
-            *courses.agg(
-                F.count(F.lit(1)),
-                F.when(started, F.min("cls_start")).cast("string"),
-                F.when(ended, F.max("cls_end")).cast("string"),
-            ).first()
-        )
-
-
 def _reserve_items(tables: Tables, version: str, listings: DataFrame, broadcast: bool) -> DataFrame:
     """Newest version of every reserve on the given listings, with the days it was in force there."""
     reserves = tables["coursereserves_reserves" + version]
@@ -198,15 +177,18 @@ def _reserve_fields(versions: DataFrame) -> DataFrame:
     )
 
 
-def _checkouts(tables: Tables, extent: _Extent) -> DataFrame:
-    """Item and local day of every checkout or renewal that may fall into the term's listings."""
+def _checkouts(tables: Tables, reserves: DataFrame) -> DataFrame:
+    """Item and local day of every checkout or renewal that may fall into a reserve's span."""
     loans = tables["loan__"]
-    # A reserve is never in force outside its listing, so the listings bound the scan; two days
-    # of slack cover the zone shift, which keeps the bound on the bare column and so pushed down.
-    if extent.lowest is not None:
-        loans = loans.where(F.col("creation_date") >= F.date_sub(F.lit(extent.lowest).cast("date"), 2))
-    if extent.highest is not None:
-        loans = loans.where(F.col("creation_date") <= F.date_add(F.lit(extent.highest).cast("date"), 2))
+    # The spans bound the loan scan; two days of slack cover the zone shift, which keeps the
+    # bound on the bare column and so pushed down.
+    lowest, highest = (
+        reserves.where("crr_start <= crr_end")
+        .agg(F.min("crr_start").cast("string"), F.max("crr_end").cast("string"))
+        .first()
+    )
+    first, last = (F.lit(day).cast("date") for day in (lowest, highest))
+    loans = loans.where(F.col("creation_date").between(F.date_sub(first, 2), F.date_add(last, 2)))
     # json_tuple is not repeated when the filter moves down, so a document is parsed once.
     return (
         loans.where(F.col("id").isNotNull())
@@ -219,10 +201,9 @@ def _checkouts(tables: Tables, extent: _Extent) -> DataFrame:
 def _term_circ_stats(tables: Tables, version: str, match: Column) -> DataFrame:
     # Both staged tables are read several times below, and their true sizes settle the joins.
     courses = staged(_term_courses(tables, version, match), "term-courses")
-    extent = _Extent.of(courses)
     listings = courses.select("clid", "cls_start", "cls_end").distinct()
     reserves = staged(
-        _reserve_items(tables, version, listings, broadcast=extent.rows <= BROADCAST_ROWS), "reserve-items"
+        _reserve_items(tables, version, listings, broadcast=courses.count() <= BROADCAST_ROWS), "reserve-items"
     )
 
     # Live call numbers: only the reserved items' documents are parsed.
@@ -242,7 +223,7 @@ def _term_circ_stats(tables: Tables, version: str, match: Column) -> DataFrame:
         )
     )
     checkouts = count_in_spans(
-        _checkouts(tables, extent),
+        _checkouts(tables, reserves),
         reserves,
         on="item_id",
         by=["item_barcode", "clid"],

@@ -209,7 +209,8 @@ def test_ci_match_folds_case_beyond_ascii_and_keeps_null(spark):
         text.ci_match(text_lit(None), "x"),
         ~text.ci_match(text_lit(None), "x"),
         text.ci_match(F.lit("x"), None),
-    ) == (True, None, None, None)
+        text.ci_match(F.lit("first\nsecond"), "T.S"),
+    ) == (True, None, None, None, True)
 
 
 def test_invalid_pattern_raises(spark):

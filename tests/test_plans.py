@@ -92,7 +92,15 @@ def test_barcode_reaches_the_check_in_scan_as_a_literal(tables):
 def test_loans_are_bounded_at_the_scan(tables):
     text = plan(run(tables, "course_term_circ_stats", term_name="asia"))
     scan = re.search(r"FileScan parquet \[id#\d+,creation_date.*", text).group()
-    assert "creation_date" in scan and ">=" in scan.split("DataFilters")[1]
+    filters = scan.split("DataFilters")[1]
+    assert re.search(r"creation_date#\d+ >= \d{4}", filters)
+
+
+def test_term_without_spans_reads_no_loan(tables):
+    frame = run(tables, "course_term_circ_stats", term_name="no such term")
+    scans = re.findall(r"FileScan parquet \[[^\]]*", plan(frame))
+    assert scans and not any("creation_date" in scan for scan in scans)
+    assert frame.count() == 0
 
 
 def test_date_range_reaches_the_scan(tables):

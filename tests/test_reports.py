@@ -188,7 +188,7 @@ def test_reserve_version_without_an_end_has_no_end_and_counts_no_loan(world):
 
 
 def test_every_loan_version_with_a_checkout_action_counts(world):
-    actions = ["checkedOut", "renewed", "CHECKEDOUTTHROUGHOVERRIDE", "renewedThroughOverride", "checkedin", "xrenewed"]
+    actions = ["checkedOut", "renewed", "CHECKEDOUTTHROUGHOVERRIDE", "renewedThroughOverride", "checkedin", "xrenewed", "renewed\n"]
     loans = [loan("2024-02-01", action=a) for a in actions] + [loan("2024-02-01", item="other")]
     assert term(world, loan__=loans)[0].checkout_count == 4
 
