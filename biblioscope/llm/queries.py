@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from biblioscope.llm import bpe
+from biblioscope.llm import bpe, ranking, rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -30,3 +31,39 @@ def tokenizer(spark: SparkSession) -> bpe.Tokenizer:
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""
     return bpe.round_trip(_table(spark, sf_dir, "documents"), tokenizer(spark))
+
+
+@_query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's base counts and verdict."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rules.judged(documents, rules.fit(documents)).drop("text")
+
+
+def _labelled(spark: SparkSession, sf_dir: str, label: str, of: int, held_out: int) -> DataFrame:
+    return ranking.sample(_table(spark, sf_dir, "labels"), label, ranking.remainder(F.col("doc_id"), of) != held_out)
+
+
+def _verdicts(scored: DataFrame, of: int, held_out: int) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        (ranking.remainder(F.col("doc_id"), of) == held_out).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@_query
+def op5_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score; a third of the documents is held out."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ranking.fit(documents, _labelled(spark, sf_dir, "quality", 3, 1))
+    return _verdicts(ranking.scored(documents, model), 3, 1)
+
+
+@_query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score; a fifth of the documents is held out."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(documents, _labelled(spark, sf_dir, "toxic", 5, 0))
+    return _verdicts(toxicity.scored(documents, model, offending=None), 5, 0)
