@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioscope.llm import bpe, ranking, rules, toxicity
+from biblioscope.llm import bpe, html, ranking, rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -67,3 +67,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(documents, _labelled(spark, sf_dir, "toxic", 5, 0))
     return _verdicts(toxicity.scored(documents, model, offending=None), 5, 0)
+
+
+@_query
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extracted(pages, html.fit(pages)).drop("html")
