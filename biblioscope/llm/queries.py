@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioscope.llm import bpe, html, ranking, rules, toxicity
+from biblioscope.llm import bpe, html, jaccard, ranking, rules, toxicity
+from biblioscope.llm.shared import Work
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -74,3 +75,9 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's main text."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html.extracted(pages, html.fit(pages)).drop("html")
+
+
+@_query
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of near copies."""
+    return jaccard.similar(Work(spark), _table(spark, sf_dir, "documents"))
