@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioscope.llm import bpe, html, jaccard, ranking, rules, toxicity
+from biblioscope.llm import bpe, decontam, html, jaccard, ranking, rules, surrogates, toxicity
 from biblioscope.llm.shared import Work
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,36 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component of near copies."""
     return jaccard.similar(Work(spark), _table(spark, sf_dir, "documents"))
+
+
+@_query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item in every document."""
+    return decontam.contaminated(Work(spark), _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+SQL["op8_decontamination"] = r"""
+WITH words AS (
+    SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+    UNION ALL
+    SELECT 'b', item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') FROM benchmark
+), tokens AS (
+    SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS token
+    FROM (SELECT kind, id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)
+), items AS (
+    SELECT id AS item_id, token, count(*) OVER (PARTITION BY id) AS n_item_shingles FROM tokens WHERE kind = 'b'
+)
+SELECT id AS doc_id, item_id, n_item_shingles, count(*) AS n_shared, count(*) / n_item_shingles AS containment
+FROM tokens JOIN items USING (token) WHERE kind = 'd'
+GROUP BY id, item_id, n_item_shingles HAVING 100 * count(*) >= 75 * n_item_shingles
+"""
+
+#: The key of the registered queries; a user passes a secret one.
+SURROGATE_KEY = b"registered query"
+
+
+@_query
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replaced(documents, surrogates.fit(Work(spark), documents, SURROGATE_KEY))
