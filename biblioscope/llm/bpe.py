@@ -478,8 +478,9 @@ def decode(df: DataFrame, tokenizer: Tokenizer, ids: str = "ids", text: str = "t
         for batch in batches:
             lists = batch.column(keep.index(ids))
             texts = []
-            for row in lists:
-                found = np.array(row.as_py() or [], dtype=np.int64)
+            for i in range(batch.num_rows):
+                found = lists[i].values
+                found = np.zeros(0, dtype=np.int64) if found is None else found.to_numpy(zero_copy_only=False)
                 texts.append(encoder.decode(found)[0].tobytes().decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*keep, text])
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioscope.llm import bpe, decontam, html, jaccard, ranking, rules, surrogates, toxicity
+from biblioscope.llm import bpe, decontam, html, jaccard, ranking, rollups, rules, shards, surrogates, toxicity
 from biblioscope.llm.shared import Work
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,8 +105,8 @@ FROM tokens JOIN items USING (token) WHERE kind = 'd'
 GROUP BY id, item_id, n_item_shingles HAVING 100 * count(*) >= 75 * n_item_shingles
 """
 
-#: The key of the registered queries; a user passes a secret one.
-SURROGATE_KEY = b"registered query"
+#: Keys of the registered queries; a user passes secret ones.
+SURROGATE_KEY = ORDER_KEY = b"registered query"
 
 
 @_query
@@ -114,3 +114,37 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data replaced."""
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return surrogates.replaced(documents, surrogates.fit(Work(spark), documents, SURROGATE_KEY))
+
+
+@_query
+def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the shards, which are written along the way."""
+    work = Work(spark)
+    index = shards.write(_table(spark, sf_dir, "documents"), tokenizer(spark), f"{work.path}/shards", ORDER_KEY, end=50_256)
+    return work.stage(index)
+
+
+@_query
+def op3_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of the corpus after four batches and a repeated one.
+
+    The documents come; those labelled toxic are revised to the text behind their first line; those labelled
+    bad go, with the counts they have by then; a batch that was committed is sent once more.
+    """
+    work = Work(spark)
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    versions = {"byte_bpe_50k": tokenizer(spark), "words": None}
+    toxic = labels.where("toxic = 1").select("doc_id").distinct()
+    bad = labels.where("quality = 0").select("doc_id").distinct()
+    rollup = rollups.Rollup(spark, f"{work.path}/rollup")
+
+    old = work.stage(rollups.counted(documents, versions))
+    rollup.commit("1-documents", rollups.signed(old, 1))
+    revised = documents.join(toxic, "doc_id", "left_semi").withColumn("text", F.regexp_replace("text", r"^[^\n]*\n?", ""))
+    new = work.stage(rollups.counted(revised, versions))
+    changes = rollups.signed(old.join(toxic, "doc_id", "left_semi"), -1).union(rollups.signed(new, 1))
+    rollup.commit("2-revised", changes)
+    now = old.join(toxic, "doc_id", "left_anti").union(new)
+    rollup.commit("3-removed", rollups.signed(now.join(bad, "doc_id", "left_semi"), -1))
+    rollup.commit("2-revised", changes)
+    return rollup.totals()

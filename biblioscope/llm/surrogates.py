@@ -108,11 +108,9 @@ def find(text: str) -> list[Entity]:
     found += [(*m.span(), "iban") for m in _IBAN.finditer(text) if _iban_sum(m.group().replace(" ", "")) == 1]
     for m in _NUMBER.finditer(text):
         a, b = m.span()
-        if _DAY.match(text, a):
-            continue
         for kind, pattern in (("ip", _IP), ("ssn", _SSN), ("card", _CARD), ("phone", _PHONE)):
             for m in pattern.finditer(text, a, b + 1 if b < len(text) else b):
-                if _bounded(text, *m.span()) and not (kind == "phone" and not 7 <= sum(map(str.isdigit, m.group())) <= 15):
+                if _bounded(text, *m.span()) and not (kind == "phone" and (_DAY.match(m.group()) or not 7 <= sum(map(str.isdigit, m.group())) <= 15)):
                     found.append((*m.span(), kind))
     found += [(*m.span(2), "name" + _TITLES[m[1]]) for m in _NAME.finditer(text)]
     if len(found) < 2:
