@@ -106,10 +106,8 @@ def shingles(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarra
     short = np.repeat(np.where(n >= size, size, n), runs)
     whole = bool((short == size).all())
     for k in range(size):
-        part = padded[at + k]
-        if not whole:
-            part = np.where(k < short, part, np.uint64(0))
-        sums = (sums + part) * _STEP
+        more = (sums + padded[at + k]) * _STEP
+        sums = more if whole else np.where(k < short, more, sums)
     return mixed(sums + short.astype(np.uint64)), begins
 
 

@@ -32,13 +32,6 @@ from biblioscope.llm.shared import Work
 SIZE, PERCENT = 5, 75
 BITS = 1 << 23
 
-_INDEX = np.uint64(64 - BITS.bit_length() + 1)
-
-
-def _positions(tokens: np.ndarray) -> np.ndarray:
-    return tokens >> _INDEX
-
-
 def items_of(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
     """(item_id, size, token, n, sampled): each distinct shingle of each item, n the number of them."""
     kind = dict(benchmark.dtypes)[item]
@@ -61,24 +54,25 @@ def items_of(benchmark: DataFrame, item: str = "item_id", text: str = "text") ->
     return rows.withColumn("sampled", rank <= F.col("n") - F.ceil(PERCENT * F.col("n") / 100) + 1)
 
 
-def _bitmap(tokens: DataFrame) -> np.ndarray:
-    """``BITS`` flags, of which those of the tokens are set: what comes to the driver has a fixed size."""
-    shift = 64 - BITS.bit_length() + 1
+def _bitmap(tokens: DataFrame, bits: int) -> np.ndarray:
+    """``bits`` flags, of which those of the tokens are set: what comes to the driver has a fixed size."""
+    shift = 64 - bits.bit_length() + 1
     position = F.shiftrightunsigned("token", shift)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), position.bitwiseAND(F.lit(63)).cast("int"))
     words = tokens.groupBy(F.shiftright(position, 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
-    flags = np.zeros(BITS // 64, dtype=np.uint64)
+    flags = np.zeros(bits // 64, dtype=np.uint64)
     for row in words.toLocalIterator():
         flags[row["word"]] = np.uint64(row["bits"] & (2**64 - 1))
     return np.unpackbits(flags.view(np.uint8), bitorder="little").astype(bool)
 
 
-def contaminated(work: Work, documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id") -> DataFrame:
-    """(key, item_id, n_item_shingles, n_shared, containment) of each document and item in it."""
+def contaminated(work: Work, documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", bits: int = BITS) -> DataFrame:
+    """(key, item_id, n_item_shingles, n_shared, containment) of each document and item in it.  ``bits`` is a power of two, 64 at least."""
     items = work.stage(items_of(benchmark, item, text))
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # five at most
-    flags = work.spark.sparkContext.broadcast((np.packbits(_bitmap(items.where("sampled"))), np.packbits(_bitmap(items))))
+    flags = work.spark.sparkContext.broadcast((np.packbits(_bitmap(items.where("sampled"), bits)), np.packbits(_bitmap(items, bits))))
     kind = dict(documents.dtypes)[key]
+    shift = np.uint64(64 - bits.bit_length() + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampled, listed = (np.unpackbits(x).astype(bool) for x in flags.value)
@@ -89,14 +83,14 @@ def contaminated(work: Work, documents: DataFrame, benchmark: DataFrame, key: st
                 tokens, docs = [], []
                 for size in sizes:
                     found, begins = shingles(words, first, size)
-                    at = np.flatnonzero(listed[_positions(found)])
+                    at = np.flatnonzero(listed[found >> shift])
                     tokens.append(found[at])
                     docs.append(np.searchsorted(begins, at, "right") - 1)
                 if not tokens:
                     continue
                 token, doc = np.concatenate(tokens), np.concatenate(docs)
                 hit = np.zeros(block.n, dtype=bool)
-                hit[doc[sampled[_positions(token)]]] = True
+                hit[doc[sampled[token >> shift]]] = True
                 token, doc = token[hit[doc]], doc[hit[doc]]
                 ids = batch.column(0).slice(block.rows.start, block.n)
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc)), pa.array(token.view(np.int64))], names=["id", "token"])

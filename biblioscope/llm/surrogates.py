@@ -167,9 +167,11 @@ class Surrogates:
         n = left * right
         return self._order((self._order(value, left, right, tweak, 1) + 1) % n, left, right, tweak, -1)
 
-    def string(self, text: str, tweak: str, alphabet_of: dict[str, str] = _ALPHABET_OF, stays: int = -1) -> str:
-        """Each letter and digit by one of its alphabet, but that at ``stays``; a permutation of all strings of that shape."""
+    def string(self, text: str, tweak: str, alphabet_of: dict[str, str] = _ALPHABET_OF, stays: int = -1, last: str | None = None) -> str:
+        """Each letter and digit by one of its alphabet, but that at ``stays``, the last by one of ``last`` if given; a permutation of all strings of that shape."""
         alphabets = [alphabet_of.get(c) or _neighbourhood(c) for c in text]
+        if last is not None:
+            alphabets[-1] = last
         places = [(i, alphabet) for i, alphabet in enumerate(alphabets) if len(alphabet) > 1 and i != stays]
         half = len(places) // 2
         value, left, right = 0, 1, 1
@@ -238,7 +240,10 @@ class Surrogates:
     def _name(self, word: str) -> str:
         """A name of the same sounds; told apart, as it is written, by its letters alone."""
         low = word.lower() if len(word.lower()) == len(word) else word
-        new = self.string(low, "name", _SOUNDS, len(low) - 1 if low[-1] in _ENDINGS else -1)
+        if low[-1] in _ENDINGS:
+            new = self.string(low, "name", _SOUNDS, len(low) - 1)
+        else:  # no other ending becomes one of those
+            new = self.string(low, "name", _SOUNDS, last="".join(x for x in _SOUNDS.get(low[-1]) or _neighbourhood(low[-1]) if x not in _ENDINGS))
         return "".join(n.upper() if o.isupper() and len(n.upper()) == 1 else n for o, n in zip(word, new, strict=True))
 
     def replace(self, text: str, found: list[Entity]) -> str:

@@ -1,0 +1,57 @@
+import html as entities
+import re
+
+from biblioscope.llm import html, queries
+from tests.llm.conftest import SF_DIR
+
+
+def article_of(page):
+    inside = re.search(r"<article>(.*?)(</article>|\Z)", page, re.S)[1]
+    blocks = (" ".join(entities.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>", inside))
+    return "\n".join(x for x in blocks if x)
+
+
+def test_query_gives_the_articles(spark):
+    pages = {r["page_id"]: r for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
+    rows = queries.op7_html_extraction(spark, SF_DIR).collect()
+    assert len(rows) == len(pages)
+    for row in rows:
+        assert row["text"] == article_of(pages[row["page_id"]]["html"])
+        assert row["n_chars"] == len(row["text"]) and row["url"] == pages[row["page_id"]]["url"]
+
+
+def test_best_run_is_the_largest_sum():
+    import random
+
+    rnd = random.Random(2)
+    for _ in range(300):
+        words = [float(rnd.choice([0, 0, 1, 3])) for _ in range(rnd.randrange(1, 9))]
+        tags = [-rnd.choice([0.5, 1, 2, 9]) for _ in words[1:]]
+        run = html.best_run(tags, words)
+        sums = {(i, j): sum(words[i : j + 1]) + sum(tags[i:j]) for i in range(len(words)) for j in range(i, len(words))}
+        best = max(sums.values())
+        assert (run is None and best <= 0) or abs(sums[run] - best) < 1e-9
+
+
+PAGE = """<html><head><title>x</title></head><body><header><p>welcome to our site</p></header><nav>menu a b c</nav>
+<div class="cookie-notice"><p>We use cookies and say so in many words here</p></div><main><article><h1>Title here</h1>
+<p>First &amp; more <b>bold</b> words &eacute;.</p><form><label>Your mail</label></form><p>Second  with   white
+space.</p><div class="ad">Buy this now</div><!-- no <p>comment</p> --><p>Third a < b and "c > d".</p><script>if (a < b) "</p>"</script></article>
+<section id="comments"><p>I like this very much indeed my friend, so many words.</p></section></main><aside><p>Side words</p></aside><footer>foot</footer></body></html>"""
+
+
+def test_boilerplate_inside_and_around_the_article_goes():
+    weights = html.learn([PAGE])
+    assert html.extract(PAGE, weights) == 'Title here\nFirst & more bold words é.\nSecond with white space.\nThird a < b and "c > d".'
+
+
+def test_odd_pages(spark):
+    weights = html.learn([])
+    assert html.extract("", weights) == "" and html.extract("<p><br></p>", weights) == ""
+    assert html.extract("no tags &lt;here&gt; at all", weights) == "no tags <here> at all"
+    assert html.extract("<p>cut off <b", weights) == "cut off" and html.extract("<p>a b c<!-- open <p>d e f", weights) == "a b c"
+    rows = [(1, None, None, "x"), (2, "u", "", "x"), (2, "u", "", "x"), (None, "u", "<p>" + "word " * 50_000, "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    found = html.extracted(pages, html.fit(pages)).collect()
+    assert [r["n_chars"] for r in found] == [0, 0, 0, 249_999]
+    assert html.extracted(pages.where("false"), weights).collect() == []
