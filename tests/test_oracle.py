@@ -6,10 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from fixtures.operator_queries import OPERATOR_SQL
 from fixtures.relations import SOURCES
+from fixtures.report_queries import REPORT_SQL
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = {**REPORT_SQL, **OPERATOR_SQL}
+QUERIES = {name: query for name, query in entry.queries().items() if name in SQL}
 TYPES = {
     "string": "VARCHAR",
     "bigint": "BIGINT",
