@@ -29,14 +29,17 @@ def utc_instant(text: str, kind: T.DataType) -> Column:
     return F.lit(text if isinstance(kind, T.TimestampNTZType) else text + "Z").cast(kind)
 
 
-def in_day_range(instant: Column, start: dt.date, end: dt.date) -> Column:
-    """Whole days, both ends included. Catalyst pushes this to the scan as an instant range."""
-    return F.to_date(instant).between(F.lit(start), F.lit(end))
+def in_day_range(instant: Column, start: dt.date | None, end: dt.date | None) -> Column:
+    """Whole days, both ends included; a NULL end matches nothing. Catalyst pushes this to the scan as an instant range."""
+    return F.to_date(instant).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
 
 
-def in_midnight_range(instant: Column, start: dt.date, end: dt.date) -> Column:
-    """From midnight of ``start`` to midnight of ``end``: of the end day only 00:00 counts."""
-    return (instant >= F.lit(start)) & (instant <= F.lit(end))
+def in_midnight_range(instant: Column, start: dt.date | None, end: dt.date | None) -> Column:
+    """From midnight of ``start`` to midnight of ``end``: of the end day only 00:00 counts.
+
+    A NULL end matches nothing.
+    """
+    return (instant >= F.lit(start).cast("date")) & (instant <= F.lit(end).cast("date"))
 
 
 def later_of(left: Column, right: Column) -> Column:

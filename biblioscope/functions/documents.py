@@ -28,8 +28,16 @@ def uuid_norm(text: Column) -> Column:
     return F.lower(text)
 
 
+# The texts the database takes for true and false.
+TRUE_TEXTS = ("t", "tr", "tru", "true", "y", "ye", "yes", "on", "1")
+FALSE_TEXTS = ("f", "fa", "fal", "fals", "false", "n", "no", "of", "off", "0")
+
+
 def text_bool(text: Column) -> Column:
-    return text.cast("boolean")
+    """Boolean from text in any letter case; other texts are an error."""
+    word = F.lower(F.trim(text))
+    known = F.when(word.isin(*TRUE_TEXTS), True).when(word.isin(*FALSE_TEXTS), False)
+    return known.otherwise(text.cast("boolean"))
 
 
 def flag(value: Column) -> Column:

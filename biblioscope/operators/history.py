@@ -12,12 +12,15 @@ OPEN_END = "9999-12-31 00:00:00"
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: str = "__start") -> DataFrame:
-    """The newest row of every key; a NULL ``order`` counts as newest, ``__id`` breaks ties.
+    """The newest row of every key; a NULL ``order`` counts as newest.
+
+    ``__id`` breaks ties; without it all other columns do, so that every run picks the same row.
 
     Written as row_number() = 1 so that Spark cuts every input partition to one row per
     key before the shuffle (WindowGroupLimit): a key holding much of the table is no hot spot.
     """
-    ties = [F.desc_nulls_first("__id")] if "__id" in df.columns else []
+    rest = sorted(c for c in df.columns if c not in keys and c != order)
+    ties = [F.desc_nulls_first(c) for c in (["__id"] if "__id" in rest else rest)]
     newest = Window.partitionBy(*keys).orderBy(F.desc_nulls_first(order), *ties)
     return df.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Keys few enough to be written into a filter that the scan can use.
-LISTED_KEYS = 1_000
-
 
 def spread_join(many: DataFrame, one: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Many-to-one join in which Spark can always split a hot key of ``many``.
@@ -20,16 +17,10 @@ def spread_join(many: DataFrame, one: DataFrame, key: str, how: str = "inner") -
     return many.join(one, [key, "_spread"], how).drop("_spread")
 
 
-def only_keys_of(df: DataFrame, column: str, keys: DataFrame, rows: int = LISTED_KEYS) -> DataFrame:
-    """``df`` without rows whose ``column`` is not among a handful of keys; unchanged beyond that.
+def only(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose key is among ``keys``, which may repeat.
 
-    For one-item reports: the single column of ``keys`` is read by a small job of its own, so that
-    the scan of a very large ``df`` is pruned by literal values.  A join still has to follow.
+    An inner join with the distinct keys: Spark moves a semi join below the columns that are parsed from a
+    document, and would shuffle the documents then.
     """
-    listed = [row[0] for row in keys.distinct().limit(rows + 1).collect()]
-    return df.where(_any_of(F.col(column), listed)) if len(listed) <= rows else df
-
-
-def _any_of(column: Column, values: list) -> Column:
-    known = [value for value in values if value is not None]
-    return column.isin(known) if known else F.lit(False)
+    return spread_join(df, keys.select(key).distinct(), key)

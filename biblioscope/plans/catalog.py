@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from biblioscope.operators.contract import conform
 from biblioscope.plans import circulation, courses, derived, inventory, notes
+from biblioscope.sources.staging import keeping
 from biblioscope.sources.tables import Tables
 
 
@@ -196,7 +197,9 @@ def run(tables: Tables, name: str, /, **arguments: object) -> DataFrame:
 
     Parameters are those of the report's form; further keywords of the report's function
     (site constants such as a note type or a catalogue address) are accepted as well.  A text
-    parameter that is not required is NULL when left out, dates fall back to their defaults.
+    parameter that is not required is NULL when left out, dates fall back to their defaults; a date that is
+    given as None is NULL and matches nothing.  Nothing runs until the result is read; ``release`` lets go of
+    what was kept for it.
     """
     report = REPORTS[name]
     given = dict(arguments)
@@ -206,11 +209,20 @@ def run(tables: Tables, name: str, /, **arguments: object) -> DataFrame:
             raise ValueError(f"{name}: {parameter.name} is required")
         if parameter.type == "text":
             given.setdefault(parameter.name, None)
-        elif value is None:
-            given.pop(parameter.name, None)
         elif isinstance(value, str):
             given[parameter.name] = dt.date.fromisoformat(value)
-    return conform(report.function(tables, **given), report.schema)
+    with keeping() as frames:
+        result = conform(report.function(tables, **given), report.schema)
+    result._kept = frames
+    return result
+
+
+def register_views(tables: Tables) -> list[str]:
+    """Temporary views, by name, of the reports that need no parameter, for use in SQL."""
+    names = [r.name for r in _ALL if not any(p.required or p.type == "text" for p in r.parameters)]
+    for name in names:
+        run(tables, name).createOrReplaceTempView(name)
+    return names
 
 
 def reports_catalog(spark: SparkSession) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from biblioscope.functions.dates import FIRST_DAY, LAST_DAY, in_midnight_range
 from biblioscope.operators.history import current_rows
-from biblioscope.operators.joins import only_keys_of
+from biblioscope.operators.joins import only
+from biblioscope.sources.staging import kept
 from biblioscope.sources.tables import Tables
 
 # The location the zero-use report looks at, and statuses before a check-in.
@@ -27,7 +28,7 @@ def count_circulation_history(
         (F.col("item_status_prior_to_check_in") == CHECKED_OUT)
         & in_midnight_range(F.col("occurred_date_time"), start_date, end_date)
     )
-    return only_keys_of(returns, "item_id", items).join(items, "item_id").select(
+    return returns.join(items, "item_id").select(
         F.col("id").alias("check_in_id"), F.to_date("occurred_date_time").alias("check_in_date")
     )
 
@@ -43,7 +44,6 @@ def count_internal_use(tables: Tables, barcode_to_check: str) -> DataFrame:
         .select(F.col("id").alias("item_id"))
     )
     uses = tables["check_in__t__"].where(F.col("item_status_prior_to_check_in") == AVAILABLE)
-    uses = only_keys_of(uses, "item_id", items)
     return uses.join(items, "item_id").agg(F.count("id").cast("int").alias("internal_use_count"))
 
 
@@ -60,21 +60,18 @@ def zero_use_items(
     """
     holdings = (
         tables["holdings_record__t__"]
-        .where(F.col("permanent_location_id") == location_id)
+        .where(F.col("permanent_location_id") == location_id.lower())
         .select(F.col("id").alias("holdings_record_id"), "instance_id")
     )
     titles = tables["instance__t__"].select(F.col("id").alias("instance_id"), "title")
-    # Distinct ids: an item with very many check-ins reaches the join as one row.
-    used = (
-        tables["check_in__t__"]
-        .where(in_midnight_range(F.col("occurred_date_time"), start_date, end_date))
-        .select("item_id")
-        .distinct()
-    )
     items = current_rows(tables["item__t__"]).select(F.col("id").alias("item_id"), "holdings_record_id")
+    # The location's items first: check-ins of others are dropped where they lie, and an item with very
+    # many check-ins reaches the anti join as one row.
+    located = kept(items.join(holdings, "holdings_record_id").select("item_id", "instance_id"))
+    check_ins = tables["check_in__t__"].where(in_midnight_range(F.col("occurred_date_time"), start_date, end_date))
+    used = check_ins.select("item_id").join(located.select("item_id").distinct(), "item_id", "left_semi").distinct()
     return (
-        items.join(holdings, "holdings_record_id")
-        .join(used, "item_id", "left_anti")
-        .join(titles, "instance_id")
+        located.join(used, "item_id", "left_anti")
+        .join(only(titles, located, "instance_id"), "instance_id")
         .select("item_id", "title")
     )

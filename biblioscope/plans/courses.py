@@ -12,15 +12,14 @@ from biblioscope.functions.documents import json_text, text_fields, uuid_norm
 from biblioscope.functions.text import call_number, ci_match, normalised
 from biblioscope.operators.contract import sorted_by
 from biblioscope.operators.history import latest_per_key, version_span
-from biblioscope.operators.joins import spread_join
+from biblioscope.operators.joins import only, spread_join
 from biblioscope.operators.spans import count_in_spans
 from biblioscope.plans.derived import instance_ext, item_ext
-from biblioscope.sources.staging import BROADCAST_ROWS, staged
+from biblioscope.sources.staging import kept
 from biblioscope.sources.tables import Tables
 
 # Loan actions that count as a checkout, and the term of the permanent reserves.
-# ``\z`` is the very end of the text, where Java's ``$`` would allow a line end after it.
-CHECKOUT_ACTIONS = r"^(checkedout|checkedOutThroughOverride|renewed|renewedThroughOverride)\z"
+CHECKOUT_ACTIONS = r"^(checkedout|checkedOutThroughOverride|renewed|renewedThroughOverride)$"
 PERMANENT_TERM = "permanent"
 
 RESERVE_DOCUMENT = text_fields("itemId", copiedItem=text_fields("title", "barcode", "callNumber"))
@@ -45,14 +44,13 @@ def circ_stats_course_reserves(
         .distinct()
     )
     # Kept, as its size settles whether loans and items are filtered where they lie or shuffled.
-    reserved = staged(
+    reserved = kept(
         tables["coursereserves_reserves__t__"]
         .select("course_listing_id", "item_id")
         .distinct()
         .join(listings, "course_listing_id", "left_semi")
         .select("item_id")
-        .distinct(),
-        "reserved-items",
+        .distinct()
     )
     counts = (
         tables["loans_items"]
@@ -65,10 +63,12 @@ def circ_stats_course_reserves(
     items = item_ext(
         tables, ["item_id", "barcode", "holdings_record_id"], only=reserved.withColumnRenamed("item_id", "id")
     )
+    # What the items hang on is cut to what they need before it is shuffled.
+    counted = kept(counts.join(items, "item_id", "left"))
+    placed = kept(spread_join(counted, only(holdings, counted, "holdings_record_id"), "holdings_record_id", "left"))
+    instances = only(instance_ext(tables, ["instance_id", "title"]), placed, "instance_id")
     rows = (
-        counts.join(items, "item_id", "left")
-        .join(holdings, "holdings_record_id", "left")
-        .join(instance_ext(tables, ["instance_id", "title"]), "instance_id", "left")
+        spread_join(placed, instances, "instance_id", "left")
         .select(F.col("barcode").alias("item_barcode"), F.col("title").alias("instance_title"), "circ_count")
         .distinct()
     )
@@ -137,24 +137,19 @@ def _term_courses(tables: Tables, version: str, match: Column) -> DataFrame:
     )
 
 
-def _reserve_items(tables: Tables, version: str, listings: DataFrame, broadcast: bool) -> DataFrame:
+def _reserve_items(tables: Tables, version: str, listings: DataFrame) -> DataFrame:
     """Newest version of every reserve on the given listings, with the days it was in force there."""
     reserves = tables["coursereserves_reserves" + version]
     tie = [c for c in ("__id",) if c in reserves.columns]
     versions = reserves.select("id", F.col("courselistingid").alias("clid"), "__start", *tie, "jsonb")
-    # A listing may hold very many reserves.  Filtering by a broadcast leaves them where they
-    # are; beyond that size the versions are cut first, by (reserve, listing), which commutes
-    # with the filter, and only then meet the listings.
-    if broadcast:
-        kept = latest_per_key(_reserve_fields(versions.join(F.broadcast(listings), "clid")), ["id", "clid"])
-    else:
-        kept = latest_per_key(_reserve_fields(versions), ["id", "clid"]).join(listings, "clid")
-    kept = staged(kept, "term-reserves")
-    # All versions of the kept reserves, whatever their listing.  With few reserves this semi
-    # join moves down to the scan, so that the history of the others is not shuffled.
-    spans = version_span(reserves, "id").join(kept.select("id").distinct(), "id", "left_semi")
+    # A listing may hold very many reserves: they are parsed where they lie, meet the listings in a join
+    # that adaptive execution broadcasts or splits, and are cut to one version before the next shuffle.
+    latest = kept(latest_per_key(spread_join(_reserve_fields(versions), listings, "clid"), ["id", "clid"]))
+    # All versions of these reserves, whatever their listing.  The semi join moves below the
+    # aggregation, so that the history of the others does not get there.
+    spans = version_span(reserves, "id").join(latest.select("id").distinct(), "id", "left_semi")
     first, last = local_day(spans, "first_start"), local_day(spans, "last_end")
-    return spread_join(kept, spans, "id", "left").select(
+    return spread_join(latest, spans, "id", "left").select(
         F.col("id").alias("_reserve"),
         "clid",
         "item_id",
@@ -182,13 +177,10 @@ def _checkouts(tables: Tables, reserves: DataFrame) -> DataFrame:
     loans = tables["loan__"]
     # The spans bound the loan scan; two days of slack cover the zone shift, which keeps the
     # bound on the bare column and so pushed down.
-    lowest, highest = (
-        reserves.where("crr_start <= crr_end")
-        .agg(F.min("crr_start").cast("string"), F.max("crr_end").cast("string"))
-        .first()
-    )
-    first, last = (F.lit(day).cast("date") for day in (lowest, highest))
-    loans = loans.where(F.col("creation_date").between(F.date_sub(first, 2), F.date_add(last, 2)))
+    spans = reserves.where("crr_start <= crr_end")
+    first = spans.agg(F.date_sub(F.min("crr_start"), 2).cast(loans.schema["creation_date"].dataType)).scalar()
+    last = spans.agg(F.date_add(F.max("crr_end"), 2).cast(loans.schema["creation_date"].dataType)).scalar()
+    loans = loans.where(F.col("creation_date").between(first, last))
     # json_tuple is not repeated when the filter moves down, so a document is parsed once.
     return (
         loans.where(F.col("id").isNotNull())
@@ -199,20 +191,15 @@ def _checkouts(tables: Tables, reserves: DataFrame) -> DataFrame:
 
 
 def _term_circ_stats(tables: Tables, version: str, match: Column) -> DataFrame:
-    # Both staged tables are read several times below, and their true sizes settle the joins.
-    courses = staged(_term_courses(tables, version, match), "term-courses")
+    # Both kept sets are read several times below, and their true sizes settle the joins.
+    courses = kept(_term_courses(tables, version, match))
     listings = courses.select("clid", "cls_start", "cls_end").distinct()
-    reserves = staged(
-        _reserve_items(tables, version, listings, broadcast=courses.count() <= BROADCAST_ROWS), "reserve-items"
-    )
+    reserves = kept(_reserve_items(tables, version, listings).withColumn("shelf_id", uuid_norm(F.col("item_id"))))
 
-    # Live call numbers: only the reserved items' documents are parsed.
-    reserves = reserves.withColumn("shelf_id", uuid_norm(F.col("item_id")))
-    wanted = reserves.select(F.col("shelf_id").alias("id")).distinct()
+    # Live call numbers: documents are parsed where they lie, four fields of them are shuffled.
     number = "doc.effectiveCallNumberComponents"
     shelf = (
         tables["item"]
-        .join(wanted, "id", "left_semi")
         .withColumn("doc", F.from_json("jsonb", SHELF_DOCUMENT))
         .select(
             F.col("id").alias("shelf_id"),
@@ -222,6 +209,7 @@ def _term_circ_stats(tables: Tables, version: str, match: Column) -> DataFrame:
             F.col("doc.copyNumber").alias("copy"),
         )
     )
+    shelf = only(shelf, reserves, "shelf_id")
     checkouts = count_in_spans(
         _checkouts(tables, reserves),
         reserves,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from biblioscope.functions.documents import flag, json_instant, text_bool, text_fields, uuid_norm
+from biblioscope.operators import joins
 from biblioscope.operators.lookup import with_name
 from biblioscope.operators.unnest import unnest_json
 from biblioscope.sources.staging import materialise
@@ -95,11 +96,11 @@ def item_ext(tables: Tables, columns: Iterable[str] = ITEM_EXT, only: DataFrame
 
     A stored ``item_ext`` relation is read instead when the tables provide one.  With
     ``columns``, only the joins and document fields those columns need take part; ``only`` holds
-    the ``id`` of the items to read, so that the others are dropped before they are parsed.
+    the ``id`` of the items to read.
     """
 
     def picked(items: DataFrame) -> DataFrame:
-        return items if only is None else items.join(only, "id", "left_semi")
+        return items if only is None else joins.only(items, only, "id")
 
     wanted = list(columns)
     stored = tables.get("item_ext")
@@ -107,7 +108,7 @@ def item_ext(tables: Tables, columns: Iterable[str] = ITEM_EXT, only: DataFrame
         return picked(stored.withColumn("id", F.col("item_id"))).select(*wanted)
 
     flat_columns = {"item_hrid": "hrid", "barcode": "barcode", "enumeration": "enumeration"}
-    items = picked(tables["item"]).withColumn("doc", F.from_json("jsonb", ITEM_DOCUMENT))
+    items = picked(tables["item"].withColumn("doc", F.from_json("jsonb", ITEM_DOCUMENT)).drop("jsonb"))
     if flat_columns.keys() & set(wanted):
         flat = picked(tables["item__t"]).select(
             F.col("id").alias("_flat_id"), *[F.col(c).alias(f"_{c}") for c in flat_columns.values()]
@@ -218,13 +219,18 @@ def item_circulation_notes(tables: Tables) -> DataFrame:
 
 
 def store_derived(tables: Tables, root: str) -> Tables:
-    """Write the derived tables below ``root``; reports on the returned tables read them from there."""
+    """Write the derived tables below ``root``; reports on the returned tables read them from there.
+
+    They are built from the base tables even where ``tables`` have them stored, and take the place of an
+    older copy when they are whole; frames on that copy have to be made anew.
+    """
+    base = tables.without("item_ext", "instance_ext", "item_circulation_notes")
     return tables.having(
         {
-            "item_ext": materialise(item_ext(tables), f"{root}/item_ext", "item_id"),
-            "instance_ext": materialise(instance_ext(tables), f"{root}/instance_ext", "instance_id"),
+            "item_ext": materialise(item_ext(base), f"{root}/item_ext", "item_id"),
+            "instance_ext": materialise(instance_ext(base), f"{root}/instance_ext", "instance_id"),
             "item_circulation_notes": materialise(
-                item_circulation_notes(tables), f"{root}/item_circulation_notes", "item_id", "ordinality"
+                item_circulation_notes(base), f"{root}/item_circulation_notes", "item_id", "ordinality"
             ),
         }
     )

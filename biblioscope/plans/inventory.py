@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from biblioscope.functions.documents import absent_or_false, json_text, text_fields
+from biblioscope.functions.documents import text_fields
 from biblioscope.functions.text import ci_match, record_link, skip_null_concat
 from biblioscope.operators.contract import sorted_by
-from biblioscope.operators.joins import spread_join
+from biblioscope.operators.joins import only, spread_join
+from biblioscope.sources.staging import kept
 from biblioscope.sources.tables import Tables
 
 # The address records are linked under; a site passes its own catalogue's.
@@ -30,18 +31,16 @@ def display_inventory_curriculum_collection(
 
     The call number is labelled ``Curr`` whatever the prefix.
     """
-    holdings = (
+    holdings = kept(
         tables["holdings_record__t"]
         .where(F.col("call_number_prefix") == i_call_number_prefix)
         .select(F.col("id").alias("holdings_id"), "instance_id", "call_number")
     )
-    contributors = (
-        tables["instance_contributors"]
-        .where(F.col("contributor_is_primary"))
-        .select("instance_id", "contributor_name")
-        .distinct()
-    )
+    # Contributors and instances of the prefix's holdings only, before anything is deduplicated.
+    contributors = tables["instance_contributors"].where(F.col("contributor_is_primary")).select("instance_id", "contributor_name")
+    contributors = only(contributors, holdings, "instance_id").distinct()
     instances = tables["instance__t"].select(F.col("id").alias("instance_id"), "index_title", "hrid")
+    instances = only(instances, holdings, "instance_id")
     locations = tables["location__t"].select(
         F.col("id").alias("effective_location_id"), F.col("name").alias("location")
     )
@@ -82,13 +81,15 @@ def duplicate_oclc_numbers(
     Instances without any statistical code drop out: matching a missing list is neither true
     nor false.  An identifier repeated inside one instance counts once.
     """
-    document = F.col("jsonb")
-    unsuppressed = tables["instance"].where(
-        absent_or_false(document, "staffSuppress")
-        & ~ci_match(json_text(document, "statisticalCodeIds"), known_duplicate)
+    # json_tuple is not repeated when the filter moves down, so a document is read once.
+    parts = F.json_tuple("jsonb", "staffSuppress", "statisticalCodeIds", "identifiers").alias("suppress", "codes", "identifiers")
+    unsuppressed = (
+        tables["instance"]
+        .select("id", parts)
+        .where(F.col("suppress").isNull() | (F.col("suppress") == "false"))
+        .where(~ci_match(F.col("codes"), known_duplicate))
     )
-    identifiers = F.from_json(json_text(document, "identifiers"), IDENTIFIERS)
-    of_type = F.filter(identifiers, lambda i: i.identifierTypeId == identifier_type)
+    of_type = F.filter(F.from_json("identifiers", IDENTIFIERS), lambda i: i.identifierTypeId == identifier_type.lower())
     rows = (
         unsuppressed.select("id", F.explode(of_type).alias("i"))
         .groupBy(F.col("i.identifierTypeId").alias("id_type"), F.col("i.value").alias("oclc_number"))

@@ -9,11 +9,11 @@ from biblioscope.functions.documents import json_text, text_bool, text_fields, u
 from biblioscope.functions.text import ci_match, class_list_call_number, skip_null_concat
 from biblioscope.operators.aggregates import joined_texts, text_counts
 from biblioscope.operators.contract import sorted_by
-from biblioscope.operators.joins import spread_join
+from biblioscope.operators.joins import only, spread_join
 from biblioscope.operators.lookup import with_name
 from biblioscope.operators.unnest import unnest_json
 from biblioscope.plans.derived import instance_ext, item_ext
-from biblioscope.sources.staging import staged
+from biblioscope.sources.staging import kept
 from biblioscope.sources.tables import Tables
 
 # Fixed value: the note type listed by the note type report.
@@ -26,7 +26,7 @@ def class_list(tables: Tables, note_string: str | None) -> DataFrame:
     """Items with a matching note: where they stand and what the note says."""
     found = tables["item_notes"].where(F.col("item_id").isNotNull() & ci_match(F.col("note"), note_string))
     # Searched once; the ids alone then pick the items to read and flatten.
-    notes = staged(found.select("item_id", "note"), "class-notes")
+    notes = kept(found.select("item_id", "note"))
     items = item_ext(
         tables,
         [
@@ -49,11 +49,12 @@ def class_list(tables: Tables, note_string: str | None) -> DataFrame:
     number = class_list_call_number(
         F.col("effective_call_number_prefix"), F.col("effective_call_number"), F.col("volume"), F.col("copy_number")
     )
+    # Holdings and instances are cut to those of the found items before they are shuffled.
+    shelved = kept(spread_join(notes, items, "item_id").join(locations, "effective_location_id", "left"))
+    placed = kept(spread_join(shelved, only(holdings, shelved, "holdings_record_id"), "holdings_record_id", "left"))
+    instances = only(instance_ext(tables, ["instance_id", "title"]), placed, "instance_id")
     rows = (
-        spread_join(notes, items, "item_id")
-        .join(locations, "effective_location_id", "left")
-        .join(holdings, "holdings_record_id", "left")
-        .join(instance_ext(tables, ["instance_id", "title"]), "instance_id", "left")
+        spread_join(placed, instances, "instance_id", "left")
         .select(
             F.col("barcode").alias("item_barcode"),
             "location_code",
@@ -71,11 +72,11 @@ def googlebooknotes(tables: Tables, note_type: str = NOTE_TYPE) -> DataFrame:
     """Notes of one type with their position in the item and the item's description."""
     items = tables["item"].select("holdingsrecordid", "effectivelocationid", "materialtypeid", "jsonb")
     notes = unnest_json(items, "jsonb", "notes", ITEM_NOTE, "n", "ordinality").where(
-        uuid_norm(F.col("n.itemNoteTypeId")) == note_type
+        uuid_norm(F.col("n.itemNoteTypeId")) == note_type.lower()
     )
     types = (
         tables["item_note_type__t"]
-        .where(F.col("id") == note_type)
+        .where(F.col("id") == note_type.lower())
         .select(F.col("id").alias("type_id"), F.col("name").alias("note_type_name"))
     )
     holdings = tables["holdings_record__t"].select(
@@ -133,17 +134,18 @@ def search_notes(tables: Tables, note_string: str | None) -> DataFrame:
     """
     found = tables["item_notes"].where(F.col("item_id").isNotNull() & ci_match(F.col("note"), note_string))
     # Searched once; the ids alone then pick the items to describe.
-    notes = staged(text_counts(found, "item_id", "note", "notes"), "found-notes")
-    contributors = tables["instance_contributors"].groupBy("instance_id").agg(F.count(F.lit(1)).alias("people"))
+    notes = kept(text_counts(found, "item_id", "note", "notes"))
+    # What the items hang on is cut to the found items before it is aggregated or shuffled.
+    items = kept(tables["items_holdings_instances"].join(notes.select("item_id"), "item_id", "left_semi"))
+    contributors = only(tables["instance_contributors"].select("instance_id"), items, "instance_id").groupBy("instance_id").agg(F.count(F.lit(1)).alias("people"))
     publications = (
-        tables["instance_publication"]
+        only(tables["instance_publication"].select("instance_id", "publisher", "date_of_publication"), items, "instance_id")
         .groupBy("instance_id", "publisher", "date_of_publication")
         .agg(F.count(F.lit(1)).alias("prints"))
     )
-    holdings = tables["holdings_ext"].select("holdings_id", "permanent_location_name", "call_number")
+    holdings = only(tables["holdings_ext"].select("holdings_id", "permanent_location_name", "call_number"), items, "holdings_id")
     shown = ["item_id", "barcode", "title", "publisher", "date_of_publication"]
     shown += ["permanent_location_name", "call_number"]
-    items = tables["items_holdings_instances"].join(notes.select("item_id"), "item_id", "left_semi")
     described = (
         spread_join(items, contributors, "instance_id", "left")
         .join(holdings, "holdings_id", "left")

@@ -1,59 +1,44 @@
-"""Intermediate tables: written once, read by several branches of a report."""
+"""Sets that several branches of a report read, and stored derived tables."""
 
 from __future__ import annotations
 
-import atexit
-import functools
-import shutil
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-# Rows (of a few ids and dates each, under 100 bytes) that are safe to broadcast to every executor.
-BROADCAST_ROWS = 200_000
+_kept: ContextVar[list[DataFrame] | None] = ContextVar("kept", default=None)
 
 
-# Tables this process has staged and not discarded.
-_written: list[str] = []
-
-
-@functools.cache
-def _single_machine_folder() -> str:
-    folder = tempfile.mkdtemp(prefix="biblioscope-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return folder
-
-
-def shared_folder(spark: SparkSession) -> str | None:
-    """The cluster's shared folder; a temporary one on a single machine; None if there is none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and spark.conf.get("spark.master", "").startswith("local"):
-        folder = _single_machine_folder()
-    return folder
+def kept(df: DataFrame) -> DataFrame:
+    """``df``, to be computed once for all branches that read it.
 
+    Nothing runs until the report is read.  The set is spread over the executors' memory and disks, parts
+    lost with an executor are computed anew, and adaptive execution plans with its true size.
+    """
+    df = df.persist()
+    frames = _kept.get()
+    if frames is not None:
+        frames.append(df)
+    return df
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back.
 
-    The readers share one computation, survive the loss of executors, and Spark knows the
-    table's true size when it plans their joins.  Without a shared folder ``df`` stays lazy.
-    """
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
-        return df
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
-    _written.append(path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+@contextmanager
+def keeping() -> Iterator[list[DataFrame]]:
+    """Notes the sets that are kept in this block."""
+    token = _kept.set([])
+    try:
+        yield _kept.get()
+    finally:
+        _kept.reset(token)
 
 
-def discard_staged(spark: SparkSession) -> None:
-    """Delete the tables staged so far, once the reports that read them have been consumed."""
-    while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def release(report: DataFrame) -> None:
+    """Lets go of what was kept for one report; the report stays readable, and so do all others."""
+    for df in getattr(report, "_kept", []):
+        df.unpersist()
 
 
 def materialise(df: DataFrame, path: str, *keys: str, partitions: int | None = None) -> DataFrame:
@@ -62,5 +47,12 @@ def materialise(df: DataFrame, path: str, *keys: str, partitions: int | None = N
     Keys that tell rows apart let the rows of one hot first key lie in several files.
     """
     split = [partitions, *keys] if partitions else keys
-    df.repartitionByRange(*split).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark, new = df.sparkSession, f"{path}.{uuid.uuid4().hex}"
+    df.repartitionByRange(*split).sortWithinPartitions(*keys).write.parquet(new)
+    jvm = spark.sparkContext._jvm
+    old, whole = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(new)
+    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(old, True)
+    if not fs.rename(whole, old):
+        raise OSError(f"{new} could not be put in place")
+    return spark.read.parquet(path)

@@ -50,6 +50,10 @@ class Tables:
         """The same relations with some added or replaced."""
         return Tables(self.spark, lambda name: frames[name] if name in frames else self.get(name))
 
+    def without(self, *names: str) -> Tables:
+        """The same relations but these."""
+        return Tables(self.spark, lambda name: None if name in names else self.get(name))
+
     def get(self, name: str) -> DataFrame | None:
         if name not in self._known:
             frame = self._find(name)

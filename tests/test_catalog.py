@@ -4,10 +4,11 @@ import datetime as dt
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import biblioscope.plans.catalog as catalog
-from biblioscope import REPORTS, reports_catalog, run, store_derived
+from biblioscope import REPORTS, register_views, reports_catalog, run, store_derived
 from fixtures.warehouse import warehouse
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -47,10 +48,30 @@ def test_dates_may_be_texts_and_default_when_absent(tables, monkeypatch):
 
     report = catalog.REPORTS["count_circulation_history"]
     monkeypatch.setitem(catalog.REPORTS, report.name, catalog.Report(**{**report.__dict__, "function": function}))
-    run(tables, report.name, barcode_to_check="B", start_date="2024-02-03", end_date=None)
+    run(tables, report.name, barcode_to_check="B", start_date="2024-02-03")
     assert seen == {"start": dt.date(2024, 2, 3), "end": "last"}
 
 
+def test_a_date_that_is_null_matches_nothing(tables):
+    given = {"barcode_to_check": "B12", "start_date": None}
+    assert run(tables, "count_circulation_history", **given).count() == 0
+    assert run(tables, "circ_stats_course_reserves", circ_stat_course_name="supplier", end_date=None).count() == 0
+
+
+def test_reports_without_parameters_are_views(spark, tables):
+    names = register_views(tables)
+    assert {"item_ext", "instance_ext", "item_circulation_notes", "duplicate_oclc_numbers"} <= set(names)
+    assert spark.sql("select count(*) from item_ext").first()[0] == run(tables, "item_ext").count()
+
+
+def test_storing_again_rebuilds_from_the_base_tables(tables, tmp_path):
+    stored = store_derived(tables, str(tmp_path))
+    changed = stored.having({"item__t": stored["item__t"].withColumn("barcode", F.lit("new"))})
+    again = store_derived(changed, str(tmp_path))
+    assert {r[0] for r in run(again, "item_ext").select("barcode").collect()} <= {"new", None}
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["instance_ext", "item_circulation_notes", "item_ext"]
+
+
 ARGUMENTS = {
     "circ_stats_course_reserves": {"circ_stat_course_name": "supplier"},
     "count_circulation_history": {"barcode_to_check": "B12"},

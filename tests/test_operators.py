@@ -1,7 +1,6 @@
 """Operators against plain Python on small frames."""
 
 import datetime as dt
-import os
 import random
 from collections import Counter, defaultdict
 
@@ -9,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from biblioscope.functions import dates, documents, text
+from biblioscope.functions import text as functions_text
 from biblioscope.operators import aggregates, contract, history, joins, lookup, spans, unnest
 from biblioscope.sources import staging
 from biblioscope.sources.tables import Tables
@@ -141,12 +141,18 @@ def test_spread_join_equals_plain_join(spark, how):
     assert Counter(values(joins.spread_join(left, right, "k", how))) == Counter(values(plain))
 
 
-def test_only_keys_of_restricts_few_keys_and_leaves_many_alone(spark):
-    frame = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
-    keys = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
-    assert values(joins.only_keys_of(frame, "k", keys)) == [("a",)]
-    assert joins.only_keys_of(frame, "k", keys, rows=1).count() == 3
-    assert joins.only_keys_of(frame, "k", keys.where("false")).count() == 0
+def test_only_keeps_repeated_rows_once_each(spark):
+    frame = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), (None, 3)], "k string, v int")
+    keys = spark.createDataFrame([("a", 0), ("a", 1), (None, 2)], "k string, x int")
+    assert values(joins.only(frame, keys, "k")) == [("a", 1), ("a", 1)]
+    assert joins.only(frame, keys.where("false"), "k").count() == 0
+
+
+def test_latest_row_without_an_id_is_told_by_its_other_columns(spark):
+    rows = [("a", "2024", "x", 1), ("a", "2024", "y", 0), ("a", "2023", "z", 9)]
+    for order in (rows, rows[::-1]):
+        frame = spark.createDataFrame(order, "id string, __start string, t string, n int").repartition(3)
+        assert values(history.latest_per_key(frame, ["id"])) == [("a", "2024", "x", 1)]
 
 
 def test_with_name_keeps_unknown_and_missing_ids(spark):
@@ -308,19 +314,19 @@ def test_json_instant_is_utc_whatever_the_session_zone(spark):
 # --- staging ----------------------------------------------------------------------------------
 
 
-def test_staged_table_lies_in_the_shared_folder_and_keeps_types(spark):
-    frame = spark.createDataFrame([("a", DAY, [("n", 1)])], "k string, d date, xs array<struct<t:string,n:int>>")
-    kept = staging.staged(frame, "kept")
-    assert kept.schema.simpleString() == frame.schema.simpleString() and values(kept) == values(frame)
-    assert staging.shared_folder(spark) in kept.inputFiles()[0]
-
-
-def test_discarding_deletes_what_was_staged(spark):
-    kept = staging.staged(spark.range(3).toDF("id"), "kept")
-    path = kept.inputFiles()[0].removeprefix("file:")
-    assert os.path.exists(path)
-    staging.discard_staged(spark)
-    assert not os.path.exists(path) and not staging._written
+def test_kept_sets_are_noted_for_their_report_alone(spark):
+    with staging.keeping() as one:
+        first = staging.kept(spark.range(3).toDF("a"))
+        with staging.keeping() as two:
+            staging.kept(spark.range(4).toDF("b"))
+        staging.kept(first.where("a > 0"))
+    staging.kept(spark.range(5).toDF("c"))
+    assert [f.columns for f in one] == [["a"], ["a"]] and [f.columns for f in two] == [["b"]]
+    report = first.withColumn("x", F.lit(1))
+    report._kept = one
+    staging.release(report)
+    assert not first.is_cached and two[0].is_cached and report.count() == 3
+    spark.catalog.clearCache()
 
 
 def test_materialised_table_is_clustered_by_key(spark, tmp_path):
@@ -341,3 +347,28 @@ def test_grouping_helper_is_exact_on_a_hot_group(spark):
     counts = aggregates.text_counts(spark.createDataFrame(rows, "k string, t string"), "k", "t", "ts")
     found = {row.k: {c.t: c.times for c in row.ts} for row in counts.collect()}
     assert found == {key: dict(counter) for key, counter in expected.items()}
+
+
+@pytest.mark.parametrize(
+    ("pattern", "text", "found"),
+    [
+        ("c$", "abc", True), ("c$", "abc\n", False), (r"c\Z", "abc\n", False), ("^b", "a\nb", False), ("a.b", "a\nb", True),
+        ("[[:alpha:]]", "1x2", True), ("^[[:alpha:]]+$", "xé", True), ("[[:digit:][:space:]]", "ab", False), ("[^[:alpha:]]", "a", False),
+        (r"\mcat\M", "the cat sat", True), (r"\mcat\M", "concat", False), (r"\ycat", "a cat", True), (r"a\Yb", "ab", True),
+        ("[[:<:]]cat[[:>:]]", "cat!", True), ("[]a]", "]", True), ("[a&&b]", "&", True), ("[a[]", "[", True), (r"[\d-]", "-", True),
+        (r"\x41", "a", True), (r"(a)\1", "aa", True), (r"\.", "x", False), ("a{2}", "aa", True), ("(?:a|b)c", "bc", True),
+    ],
+)
+def test_patterns_are_the_databases(spark, pattern, text, found):
+    assert one(spark, functions_text.ci_match(F.lit(text), pattern)) == (found,)
+
+
+@pytest.mark.parametrize("pattern", ["[[:nonsense:]]", "[[.a.]]", "(?x)a", "***=a", r"\q", "a\\", "[a"])
+def test_patterns_without_a_counterpart_are_an_error(pattern):
+    with pytest.raises(ValueError):
+        functions_text.java_pattern(pattern)
+
+
+@pytest.mark.parametrize(("text", "value"), [("on", True), (" OFF ", False), ("of", False), ("tru", True), ("0", False), ("Yes", True), (None, None)])
+def test_booleans_are_the_databases(spark, text, value):
+    assert one(spark, documents.text_bool(F.lit(text).cast("string"))) == (value,)

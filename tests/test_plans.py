@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from biblioscope import Tables, run
+from biblioscope import Tables, release, run
 from biblioscope.operators import history, joins, spans
 from fixtures.warehouse import land, warehouse
 
@@ -58,13 +58,52 @@ REPORTS = {
 @pytest.mark.parametrize("name", REPORTS)
 @pytest.mark.parametrize("broadcast", ["10MB", "-1"])
 def test_no_report_forms_pairs_or_leaves_the_jvm(name, broadcast, tables, settings):
+    tables.spark.catalog.clearCache()  # kept sets are planned when they are kept
     settings(autoBroadcastJoinThreshold=broadcast)
     text = plan(run(tables, name, **REPORTS[name]))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval", "CollectLimit"):
         assert operator not in text
     if broadcast == "-1":
-        # Only the term reports ask for one, of listings whose number was checked.
-        assert "BroadcastHashJoin" not in text
+        assert "BroadcastHashJoin" not in text and "BroadcastExchange" not in text
+        assert "jsonb" not in exchanged(run(tables, name, **REPORTS[name]))
+
+
+def exchanged(frame):
+    """All columns that some exchange of the plan, kept sets included, writes."""
+    seen, found = set(), []
+
+    def walk(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.inputPlan()
+        if node.nodeName().startswith("InMemoryTableScan"):
+            cached = node.relation().cachedPlan()
+            if cached.hashCode() not in seen:
+                seen.add(cached.hashCode())
+                walk(cached)
+        if node.nodeName() == "Exchange":
+            found.append(node.output().mkString(","))
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(frame._jdf.queryExecution().executedPlan())
+    return ",".join(found)
+
+
+@pytest.mark.parametrize("name", REPORTS)
+def test_building_a_report_runs_nothing(name, spark, tables):
+    run(tables, name, **REPORTS[name])  # relations are known from here on
+    spark.sparkContext.setJobGroup(f"build-{name}", "build")
+    run(tables, name, **REPORTS[name])
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{name}") == []
+
+
+def test_pending_reports_survive_each_others_release(tables):
+    one, two = (run(tables, "course_term_circ_stats", term_name="asia") for _ in range(2))
+    release(one)
+    expected = sorted(map(repr, two.collect()))
+    release(two)
+    assert sorted(map(repr, one.collect())) == expected != []
 
 
 def test_item_table_broadcasts_its_ten_code_tables(tables):
@@ -84,23 +123,14 @@ def test_zero_use_is_an_anti_join(tables):
     assert "LeftAnti" in plan(run(tables, "zero_use_items", location_id="19"))
 
 
-def test_barcode_reaches_the_check_in_scan_as_a_literal(tables):
-    text = plan(run(tables, "count_internal_use", barcode_to_check="B12"))
-    assert re.search(r"PushedFilters: .*EqualTo\(item_id,12\)|item_id#\d+ = 12", text)
-
-
 def test_loans_are_bounded_at_the_scan(tables):
     text = plan(run(tables, "course_term_circ_stats", term_name="asia"))
     scan = re.search(r"FileScan parquet \[id#\d+,creation_date.*", text).group()
-    filters = scan.split("DataFilters")[1]
-    assert re.search(r"creation_date#\d+ >= \d{4}", filters)
+    assert re.search(r"creation_date#\d+ >= .*subquery", scan.split("DataFilters")[1])
 
 
-def test_term_without_spans_reads_no_loan(tables):
-    frame = run(tables, "course_term_circ_stats", term_name="no such term")
-    scans = re.findall(r"FileScan parquet \[[^\]]*", plan(frame))
-    assert scans and not any("creation_date" in scan for scan in scans)
-    assert frame.count() == 0
+def test_term_without_spans_gives_no_row(tables):
+    assert run(tables, "course_term_circ_stats", term_name="no such term").count() == 0
 
 
 def test_date_range_reaches_the_scan(tables):
@@ -109,14 +139,6 @@ def test_date_range_reaches_the_scan(tables):
     assert "loan_date" in scan.split("DataFilters")[1]
 
 
-def test_few_keys_filter_events_before_they_are_counted(tables):
-    for name, event in [("circ_stats_course_reserves", "loan_id"), ("course_term_circ_stats", "creation_date")]:
-        above_scan = plan(run(tables, name, **REPORTS[name])).split("FileScan")
-        place = next(i for i, part in enumerate(above_scan) if part.startswith(" parquet") and f"{event}#" in part[:60])
-        steps = re.findall(r"LeftSemi|HashAggregate", above_scan[place - 1])
-        assert steps[-1] == "LeftSemi"
-
-
 def test_latest_version_is_cut_before_the_shuffle(spark):
     frame = spark.createDataFrame([("a", None, 1)], "id string, __start timestamp_ntz, __id int")
     assert "WindowGroupLimit" in plan(history.latest_per_key(frame, ["id"])).split("Exchange")[1]

@@ -219,25 +219,15 @@ def test_item_id_of_a_reserve_is_normalised_for_the_shelf_but_not_for_loans(worl
     assert (row.call_number, row.checkout_count) == ("Q", 0)
 
 
-def test_many_listings_take_the_other_way_with_the_same_result(world, monkeypatch):
-    def report():
-        return term(
-            world,
-            coursereserves_courselistings__=[listing(f"L{i}", "t1") for i in range(4)],
-            coursereserves_courses__=[course(f"c{i}", f"L{i}") for i in range(4)],
-            coursereserves_reserves__=[reserve(f"r{i % 3}", f"L{i % 5}", end=OPEN, version=str(i)) for i in range(20)],
-            loan__=[loan("2024-02-01")],
-        )
-
-    small = report()
-    monkeypatch.setattr("biblioscope.plans.courses.BROADCAST_ROWS", 0)
-    assert len(small) == 12 and sorted(map(tuple, report())) == sorted(map(tuple, small))
-
-
-def test_report_without_a_shared_folder_stays_lazy_and_equal(world, monkeypatch):
-    staged = term(world, loan__=[loan("2024-02-01")])
-    monkeypatch.setattr("biblioscope.sources.staging.shared_folder", lambda spark: None)
-    assert term(world, loan__=[loan("2024-02-01")]) == staged
+def test_reserves_on_several_listings_keep_their_latest_version(world):
+    rows = term(
+        world,
+        coursereserves_courselistings__=[listing(f"L{i}", "t1") for i in range(4)],
+        coursereserves_courses__=[course(f"c{i}", f"L{i}") for i in range(4)],
+        coursereserves_reserves__=[reserve(f"r{i % 3}", f"L{i % 5}", end=OPEN, version=str(i)) for i in range(20)],
+        loan__=[loan("2024-02-01")],
+    )
+    assert len(rows) == 12
 
 
 def test_permanent_report_looks_at_current_versions_only(world):
