@@ -140,7 +140,7 @@ def op3_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     old = work.stage(rollups.counted(documents, versions))
     rollup.commit("1-documents", rollups.signed(old, 1))
-    revised = documents.join(toxic, "doc_id", "left_semi").withColumn("text", F.regexp_replace("text", r"^[^\n]*\n?", ""))
+    revised = rollups.among(documents.select("doc_id", "source", "lang", "text"), toxic).withColumn("text", F.regexp_replace("text", r"^[^\n]*\n?", ""))
     new = work.stage(rollups.counted(revised, versions))
     changes = rollups.signed(old.join(toxic, "doc_id", "left_semi"), -1).union(rollups.signed(new, 1))
     rollup.commit("2-revised", changes)

@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from biblioscope.llm.blocks import blocks, column, spans
 from biblioscope.llm.bpe import AT_ONCE, Tokenizer
+from biblioscope.llm.decontam import BITS
+from biblioscope.llm.decontam import _bitmap as bitmap
 
 GROUP = ("source", "lang", "tokenizer")
 _CHANGES = "source string, lang string, tokenizer string, docs long, tokens long"
@@ -46,6 +48,27 @@ def counted(df: DataFrame, versions: dict[str, Tokenizer | None], text: str = "t
     return df.select("doc_id", F.col("source").cast("string"), F.col("lang").cast("string"), text).mapInArrow(run, f"doc_id {kind}, source string, lang string, tokenizer string, tokens long")
 
 
+def among(df: DataFrame, keys: DataFrame, key: str = "doc_id", bits: int = BITS) -> DataFrame:
+    """The rows of ``df`` whose key is in ``keys``; null keys are in none.
+
+    A bitmap of the keys' hashes, of a fixed size, lets go of most other rows where they lie, so that the
+    join that decides shuffles few texts.  If very many keys fill it, it only saves less.
+    """
+    hashed = F.xxhash64(key)
+    flags = np.packbits(bitmap(keys.where(F.col(key).isNotNull()).select(hashed.alias("token")), bits))
+    sent, shift, schema = df.sparkSession.sparkContext.broadcast(flags), np.uint64(64 - bits.bit_length() + 1), df.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maybe = np.unpackbits(sent.value).astype(bool)
+        for batch in batches:
+            last = batch.num_columns - 1
+            kept = maybe[batch.column(last).to_numpy().view(np.uint64) >> shift]
+            yield pa.RecordBatch.from_arrays(batch.columns[:last], names=schema.names).filter(pa.array(kept))
+
+    few = df.withColumn("_hash", hashed).mapInArrow(run, schema)
+    return few.join(keys.select(key).distinct(), key, "left_semi")
+
+
 def signed(counts: DataFrame, sign: int) -> DataFrame:
     """Changes from counts: documents that come (1) or go (-1)."""
     return counts.select(*GROUP, F.lit(sign).cast("long").alias("docs"), (sign * F.col("tokens")).cast("long").alias("tokens"))

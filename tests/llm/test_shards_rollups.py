@@ -109,6 +109,14 @@ def test_query_agrees_with_counting_what_is_left(spark, documents, tokenizer):
     assert {(r["source"], r["lang"], r["tokenizer"]): (r["docs"], r["tokens"]) for r in rows} == expected
 
 
+@pytest.mark.parametrize("bits", [64, 1 << 16])
+def test_rows_among_keys(bits, spark, odd):
+    keys = spark.createDataFrame([(3,), (3,), (5,), (77,), (None,)], "doc_id long")
+    found = rollups.among(odd, keys, bits=bits)
+    assert found.columns == odd.columns and sorted(r["doc_id"] for r in found.collect()) == [3, 3, 5]
+    assert rollups.among(odd, keys.where("false"), bits=bits).count() == 0
+
+
 def test_counts_of_odd_rows(odd, none, tokenizer):
     rows = rollups.counted(odd, {"words": None, "t": tokenizer}).collect()
     assert len(rows) == 18 and {r["tokens"] for r in rows if r["doc_id"] in (1, 2)} == {0}
