@@ -449,9 +449,13 @@ class Tokenizer:
         return _encoders[self.key]
 
 
-def encode(df: DataFrame, tokenizer: Tokenizer, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Adds the column ``ids`` (array of int), replacing one of that name.  Null text: no ids."""
-    keep = [c for c in df.columns if c != ids]
+def encode(df: DataFrame, tokenizer: Tokenizer, text: str = "text", ids: str = "ids", checked: str | None = None) -> DataFrame:
+    """Adds the column ``ids`` (array of int) and, if named, ``checked``: whether decoding them gives the text's bytes again.
+
+    Columns of these names are replaced.  Null text: no ids, which decode to the empty text.
+    """
+    added = [ids] + ([checked] if checked else [])
+    keep = [c for c in df.columns if c not in added]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer.encoder()
@@ -460,9 +464,15 @@ def encode(df: DataFrame, tokenizer: Tokenizer, text: str = "text", ids: str = "
             for a, b in spans(at, AT_ONCE):
                 found, first = encoder.encode(data[at[a] : at[b]], at[a : b + 1] - at[a])
                 lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(found.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, lists], names=[*keep, ids])
-
-    schema = ", ".join([f"`{c}` {t}" for c, t in df.select(*[f"`{c}`" for c in keep]).dtypes] + [f"`{ids}` array<int>"])
+                columns = [*batch.slice(a, b - a).columns, lists]
+                if checked:
+                    raw, ends = encoder.decode(found)
+                    ends, begins = np.concatenate([[0], ends])[first], at[a : b + 1] - at[a]
+                    same = [np.array_equal(raw[ends[i] : ends[i + 1]], data[at[a] + begins[i] : at[a] + begins[i + 1]]) for i in range(b - a)]
+                    columns.append(pa.array(same))
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, *added])
+
+    schema = ", ".join([f"`{c}` {t}" for c, t in df.select(*[f"`{c}`" for c in keep]).dtypes] + [f"`{ids}` array<int>"] + [f"`{c}` boolean" for c in added[1:]])
     return df.select(*[f"`{c}`" for c in keep]).mapInArrow(run, schema)
 
 
