@@ -34,7 +34,7 @@ CACHE = 200_000
 LONG = 64
 
 #: Bytes of text encoded at a time.
-AT_ONCE = 4 << 20
+AT_ONCE = 1 << 20
 
 #: Letters and numbers that Unicode has had since version 17, which the library's tables do not know.
 _NEWER = [
