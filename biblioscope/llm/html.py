@@ -8,7 +8,9 @@ shares of each token inside and outside and are mended as long as a labelled pag
 
 From the run, text is taken block by block: references decoded, white space turned into single blanks,
 trimmed, blocks joined by one \\n.  Scripts, styles, comments, forms, and elements that are menus, notices,
-adverts, sidebars or reader comments by their name, class, id or role are left out wherever they are.
+adverts, sidebars or reader comments by their name or a whole word of their class, id or role are left out
+wherever they are, unless they hold the main or longest article element or, but for menus and the like by
+name and what stands beside such an element, most of the page's words.  Headings are never left out.
 
 Null, empty and tagless pages: a page without words has an empty text; one without tags is all content.
 Unclosed tags and comments reach to the end of the page, an unfinished tag at its end is dropped.  Pages
@@ -18,9 +20,11 @@ that repeat are read each by itself.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
+from itertools import accumulate
 from math import log
 
 import pyarrow as pa
@@ -43,16 +47,21 @@ _INLINE = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _NEVER = frozenset("head title nav aside form button select fieldset dialog menu footer".split())
+#: Of these, those that hold nothing else however many words they have.
+_ONLY = _NEVER - {"form", "fieldset", "dialog"}
+#: Not left out by class, id or role.
+_SPARED = frozenset("html body article main h1 h2 h3 h4 h5 h6".split()) | _VOID
 _NAMED = re.compile(
-    r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))",
+    r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))",
     re.I,
 )
-_KIND = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|alert|newsletter|subscribe|subscription|popup|modal|"
-    r"sidebar|side-bar|widget\w*|comments?|comment-\w+|replies|disqus|respond|nav\w*|menu\w*|breadcrumbs?|pagination|pager|share|sharing|social|"
-    r"related|recommend\w*|footer|masthead|site-header|page-header|topbar|complementary|contentinfo|search|login|signup|toolbar|skip-link)(?:$|[\s_-])",
-    re.I,
+_KEYWORD = (
+    r"(?:ads?|advert(?:s|isements?|ising|orials?)?|adbox|sponsor(?:s|ed|ships?)?|promo(?:s|ted|tions?|tional)?|banners?|cookies?|consent|notices?|alerts?|newsletters?|subscribe|subscription|popup|modal|"
+    r"sidebar|side-bar|widgets?|comments?|comment-\w+|replies|disqus|respond|nav(?:s|bar|igation)?|menu(?:s|bar)?|breadcrumbs?|pagination|pager|share|sharing|social|"
+    r"related|recommend(?:ed|ations?)|footer|masthead|site-header|page-header|topbar|complementary|contentinfo|search|login|signup|toolbar|skip-link)"
 )
+#: A whole word of an attribute, or several joined: cookie-notice, but not has-sidebar.
+_KIND = re.compile(rf"(?<!\S){_KEYWORD}(?:[_-]{_KEYWORD})*(?!\S)", re.I)
 
 WORD = "word"
 #: Weights before any page is seen; other tags weigh ``_OTHER``.
@@ -66,7 +75,7 @@ Weights = dict[str, float]
 
 def tokens(page: str) -> list[tuple[str, bool, int, int]]:
     """Tags as (kind, is end, begin, end of the markup).  The kind of an element to leave out begins with '-'."""
-    out = []
+    out, inside_article = [], 0
     for m in _TOKEN.finditer(page):
         name = m["name"]
         if name is None:
@@ -74,31 +83,66 @@ def tokens(page: str) -> list[tuple[str, bool, int, int]]:
             continue
         name, end = name.lower(), bool(m["end"])
         kind = name
-        if name in _NEVER or not end and "=" in m["rest"] and any(_KIND.search(a or b or c) for a, b, c in _NAMED.findall(m["rest"])):
+        if name in ("article", "main"):
+            inside_article += -1 if end else 1
+        if name in _NEVER or not end and (name == "header" and inside_article <= 0 or name not in _SPARED and "=" in m["rest"] and any(_KIND.search(a or b or c) for a, b, c in _NAMED.findall(m["rest"]))):
             kind = "-" + name
         out.append((kind, end, m.start(), m.end()))
-    return out
+    return spared(page, out)
+
+
+def ends(tags: list[tuple[str, bool, int, int]]) -> dict[int, int]:
+    """The end tag of each element that has one."""
+    found, opened = {}, {}
+    for i, (kind, end, _, _) in enumerate(tags):
+        name = kind.lstrip("-")
+        if not end:
+            opened.setdefault(name, []).append(i)
+        elif opened.get(name):
+            found[opened[name].pop()] = i
+    return found
+
+
+def spared(page: str, tags: list[tuple[str, bool, int, int]]) -> list[tuple[str, bool, int, int]]:
+    """The tags, those of elements that hold the main or longest article element or most of the words no longer to leave out."""
+    closes = ends(tags)
+    marked = [i for i in closes if tags[i][0][0] == "-"]
+    if not marked:
+        return tags
+    sums, at = [0], 0  # the words before each tag, those of menus and the like not counted
+    only = -1
+    for i, (kind, _, begin, end) in enumerate(tags):
+        sums.append(sums[-1] + (len(page[at:begin].split()) if i > only else 0))
+        if i >= only and i in closes and kind[1:] in _ONLY and kind[0] == "-":
+            only = closes[i]
+        at = end
+    total = sums[-1] + len(page[at:].split())
+    articles = [i for i, t in enumerate(tags) if t[0] == "article" and not t[1]]
+    held = [i for i, t in enumerate(tags) if t[0] == "main" and not t[1]]
+    if articles:
+        held.append(max(articles, key=lambda i: (sums[closes[i] + 1] if i in closes else total) - sums[i + 1]))
+    held.sort()
+    marked.sort()
+    # Where an article stands in nothing that is marked, it is the content, and an advert beside it none, however short it is.
+    covers = list(accumulate((closes[i] for i in marked), max))
+    plain = [(i, closes.get(i, len(tags))) for i in held if not (k := bisect_right(marked, i)) or covers[k - 1] < i]
+    for i in marked:
+        j, name = closes[i], tags[i][0][1:]
+        k = bisect_right(held, i)
+        most = name not in _ONLY and 2 * (sums[j + 1] - sums[i + 1]) > total and (not plain or any(a < i < b for a, b in plain))
+        if most or k < len(held) and held[k] < j:
+            tags[i], tags[j] = (name, *tags[i][1:]), (name, *tags[j][1:])
+    return tags
 
 
 def left_out(tags: list[tuple[str, bool, int, int]]) -> list[tuple[int, int]]:
     """Spans of tags [i, j) of the elements to leave out; the outermost, in order."""
-    spans, i = [], 0
-    inside_article = 0
+    spans, i, closes = [], 0, ends(tags)
     while i < len(tags):
         kind, end, _, _ = tags[i]
-        name = kind.lstrip("-")
-        if name in ("article", "main"):
-            inside_article += -1 if end else 1
-        opens = kind[0] == "-" or name == "header" and inside_article <= 0
-        if opens and not end and name not in _VOID and name not in ("html", "body", "article", "main"):
-            depth, j = 0, i
-            while j < len(tags):
-                if tags[j][0].lstrip("-") == name:
-                    depth += -1 if tags[j][1] else 1
-                    if not depth:
-                        break
-                j += 1
-            if j == len(tags):  # never closed: up to the next block
+        if kind[0] == "-" and not end:
+            j = closes.get(i)
+            if j is None:  # never closed: up to the next block
                 j = i + 1
                 while j < len(tags) and tags[j][0].lstrip("-") in _INLINE:
                     j += 1

@@ -1,6 +1,8 @@
 import html as entities
 import re
 
+import pytest
+
 from biblioscope.llm import html, queries
 from tests.llm.conftest import SF_DIR
 
@@ -55,3 +57,27 @@ def test_odd_pages(spark):
     found = html.extracted(pages, html.fit(pages)).collect()
     assert [r["n_chars"] for r in found] == [0, 0, 0, 249_999]
     assert html.extracted(pages.where("false"), weights).collect() == []
+
+
+WORDS = "<p>" + "some words of the story " * 20 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        '<div class="layout has-sidebar">%s</div>',
+        '<div id="page" class="no-sidebar"><main>%s</main></div>',
+        '<section class="post with-comments"><article>%s</article></section>',
+        '<form id="search"><div class="widget"><article>%s</article></div></form>',
+        '<div class="sidebar">%s</div>',
+        '<header class="banner"><div>%s</div></header>',
+        '<article class="post related">%s</article>',
+        '<div class="navy" data-id="menu">%s</div>',
+    ],
+)
+def test_a_keyword_does_not_take_the_content_with_it(around):
+    inside = '<h1 class="page-header">Its title</h1>' + WORDS + '<div class="cookie-notice">Take one</div>' + WORDS
+    page = "<html><head><title>x</title></head><body><nav>menu a b c</nav>" + around % inside + '<div class="sidebar"><article>side</article> words</div></body></html>'
+    story = ("some words of the story " * 20).strip()
+    assert html.extract(page, html.learn([])) == f"Its title\n{story}\n{story}"
+    assert html.extract(page, html.learn([PAGE])) == f"Its title\n{story}\n{story}"
