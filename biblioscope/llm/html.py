@@ -13,7 +13,8 @@ wherever they are, unless they hold the main or longest article element or, but
 name and what stands beside such an element, most of the page's words.  Headings are never left out.
 
 Null, empty and tagless pages: a page without words has an empty text; one without tags is all content.
-Unclosed tags and comments reach to the end of the page, an unfinished tag at its end is dropped.  Pages
+Unclosed scripts and the like and comments reach to the end of the page, an unfinished tag at its end is
+dropped.  Words in drawings, formulas and objects are text like others, the tags there cost nothing.  Pages
 that repeat are read each by itself.
 """
 
@@ -36,7 +37,7 @@ SAMPLE, LONGEST = 500, 100_000
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|iframe|svg|object|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>.*?</(?P=raw)\s*>|\Z|>.*\Z)"
+    r"|<(?P<raw>script|style|noscript|template|textarea|iframe)(?=[\s/>]|\Z)(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>.*?</(?P=raw)\s*>|\Z|>.*\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
     r"|<[!?/](?:[^>]*)(?:>|\Z)"
     r"|<(?P<odd>/?[a-zA-Z][^>]*)(?:>|\Z)",
@@ -49,8 +50,11 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _NEVER = frozenset("head title nav aside form button select fieldset dialog menu footer".split())
 #: Of these, those that hold nothing else however many words they have.
 _ONLY = _NEVER - {"form", "fieldset", "dialog"}
+#: Elements with tags of their own, which weigh nothing; objects stand for something like them.
+_FOREIGN = frozenset(["svg", "math"])
+_FREE = _FOREIGN | {"object", "param"}
 #: Not left out by class, id or role.
-_SPARED = frozenset("html body article main h1 h2 h3 h4 h5 h6".split()) | _VOID
+_SPARED = frozenset("html body article main h1 h2 h3 h4 h5 h6".split()) | _VOID | _FOREIGN
 _NAMED = re.compile(
     r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))",
     re.I,
@@ -67,6 +71,8 @@ WORD = "word"
 #: Weights before any page is seen; other tags weigh ``_OTHER``.
 _START = {WORD: 1.0, "p": -0.2, "b": -0.1, "br": -0.1, "i": -0.1, "em": -0.1, "strong": -0.1, "h1": -0.4, "h2": -0.4, "h3": -0.4, "header": -0.5, "section": -0.5, "div": -1.0, "a": -0.7, "ul": -0.5, "ol": -0.5, "li": -0.3}
 _START |= dict.fromkeys("h4 h5 h6 blockquote pre table tbody thead tr td th dl dt dd figure figcaption hr img".split(), -0.3)
+#: Tags that no drawing or formula has.
+_PAGE = frozenset(_START) - {WORD, "a"} | {"body", "html", "article", "main"}
 #: What is left out costs little, so that a run can pass an advert between two paragraphs; its words count nothing.
 _OTHER, _LEFT_OUT = -3.0, -1.0
 
@@ -83,12 +89,14 @@ def tokens(page: str) -> list[tuple[str, bool, int, int]]:
             continue
         name, end = name.lower(), bool(m["end"])
         kind = name
+        if name in _FOREIGN and not end and m["rest"].rstrip().endswith("/"):
+            kind = "!"
         if name in ("article", "main"):
             inside_article += -1 if end else 1
         if name in _NEVER or not end and (name == "header" and inside_article <= 0 or name not in _SPARED and "=" in m["rest"] and any(_KIND.search(a or b or c) for a, b, c in _NAMED.findall(m["rest"]))):
             kind = "-" + name
         out.append((kind, end, m.start(), m.end()))
-    return spared(page, out)
+    return spared(page, foreign(out))
 
 
 def ends(tags: list[tuple[str, bool, int, int]]) -> dict[int, int]:
@@ -103,6 +111,25 @@ def ends(tags: list[tuple[str, bool, int, int]]) -> dict[int, int]:
     return found
 
 
+def foreign(tags: list[tuple[str, bool, int, int]]) -> list[tuple[str, bool, int, int]]:
+    """The tags, those inside a drawing as '!svg' and those inside a formula as '!'; if it is not closed, up to the next tag of a page."""
+    if not any(t[0] in _FOREIGN for t in tags):
+        return tags
+    closes, i = ends(tags), 0
+    while i < len(tags):
+        kind, end, _, _ = tags[i]
+        if kind in _FOREIGN and not end:
+            j = closes.get(i)
+            if j is None:
+                j = next((k for k in range(i + 1, len(tags)) if tags[k][0] in _PAGE or tags[k][0][0] == "-" and tags[k][0] != "-title"), len(tags))
+            for k in range(i + 1, j):
+                if tags[k][0].lstrip("-") not in _NEVER:
+                    tags[k] = ("!svg" if kind == "svg" else "!", *tags[k][1:])
+            i = j - 1
+        i += 1
+    return tags
+
+
 def spared(page: str, tags: list[tuple[str, bool, int, int]]) -> list[tuple[str, bool, int, int]]:
     """The tags, those of elements that hold the main or longest article element or most of the words no longer to leave out."""
     closes = ends(tags)
@@ -160,7 +187,7 @@ def scored(page: str, tags: list[tuple[str, bool, int, int]], weights: Weights)
     out = {i for a, b in left_out(tags) for i in range(a, b)}
     for i, (kind, _, begin, end) in enumerate(tags):
         of_words.append(0.0 if i in out and i - 1 in out else word * len(page[at:begin].split()))
-        of_tags.append(_LEFT_OUT if kind[0] == "-" else 0.0 if i in out or kind == "!" else weights.get(kind, _OTHER))
+        of_tags.append(_LEFT_OUT if kind[0] == "-" else 0.0 if i in out or kind[0] == "!" or kind in _FREE else weights.get(kind, _OTHER))
         at = end
     of_words.append(word * len(page[at:].split()))
     return of_tags, of_words
@@ -197,9 +224,9 @@ def extract(page: str, weights: Weights) -> str:
         if i == len(tags):
             break
         kind = tags[i][0].lstrip("-")
-        if kind == "br":
+        if kind in ("br", "!svg"):
             part.append(" ")
-        elif kind not in _INLINE and kind != "!":
+        elif kind not in _INLINE and kind not in _FREE and kind != "!":
             blocks.append("".join(part))
             part = []
     blocks.append("".join(part))

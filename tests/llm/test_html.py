@@ -81,3 +81,27 @@ def test_a_keyword_does_not_take_the_content_with_it(around):
     story = ("some words of the story " * 20).strip()
     assert html.extract(page, html.learn([])) == f"Its title\n{story}\n{story}"
     assert html.extract(page, html.learn([PAGE])) == f"Its title\n{story}\n{story}"
+
+
+@pytest.mark.parametrize(
+    ("markup", "text"),
+    [
+        ('<svg width="1" />', ""),
+        ("<svg/>", ""),
+        ("<math/>", ""),
+        ('<svg width="1" /><svg><path d="m0"/><g></g></svg>', ""),
+        ("<svg><path>", ""),
+        ("<svg>" + "<g><path d='m0'/></g>" * 50 + "<title>no</title><style>p { x }</style><text>A</text><text>B</text></svg>", "A B"),
+        ("<svg><svg><text>in</text></svg><text>out</text></svg>", "in out"),
+        ("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> is</p>", "so x=1 is"),
+        ('<object data="a"><param name="b"><p>see it</p></object>', "see it"),
+        ("<object data='a'><p>see it</p>", "see it"),
+        ("<svg-icon></svg-icon><object-view>seen</object-view><template-x></template-x>", "seen"),
+        ("<script>x</script><template><p>no</p></template><iframe src='a'>no</iframe><style-x></style-x>", ""),
+    ],
+)
+def test_drawings_formulas_and_objects_do_not_cut_the_page(markup, text):
+    story = ("some words of the story " * 20).strip()
+    for end in ("", "<p>last <svg><g></g></svg><math></math></p>"):
+        expected = [story, *([text] if text else []), story, *(["last"] if end else [])]
+        assert html.extract(f"<body>{WORDS}<div>{markup}</div>{WORDS}{end}</body>", html.learn([PAGE])) == "\n".join(expected)
