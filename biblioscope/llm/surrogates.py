@@ -1,7 +1,9 @@
 """Personal data replaced by surrogates that keep their kind, script and format.
 
 Found are e-mail addresses, phone numbers, IPv4 addresses, payment cards, US social security numbers, valid
-IBANs, access keys, passwords and tokens behind a word that says so, and names behind a title.  A surrogate is a
+IBANs, access keys, passwords and tokens behind a word that says so, and names behind a title.  Passwords and
+tokens have six characters or more and end at white space, a quote, comma or semicolon; quoted ones at the
+closing quote on their line, blanks included.  A surrogate is a
 keyed permutation of the value's letters and digits among all values of its shape: letters become letters
 of the same case and script, digits become digits, punctuation stays.  A card keeps its check digit right
 (or wrong), an IBAN its check sum, an address its network class, a phone number its country code, an e-mail
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,6 +37,8 @@ from biblioscope.llm.shared import Work
 ATTEMPTS = 20
 
 _ROUNDS = 8
+#: Longer values are permuted piece by piece, as the numbers drawn have 512 bits; values longer than ``_CACHED`` are not cached.
+_PIECE, _CACHED = 128, 256
 _ALPHABETS = tuple(
     map(
         str,
@@ -76,7 +81,7 @@ _KEY = re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])")
 _DAY = re.compile(r"(?:19|20)[0-9]{2}[-. ][01][0-9][-. ][0-3][0-9](?![0-9])")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _SAYS = re.compile(r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|auth|credential)s?[\"']?\s{0,2}\Z", re.I)
-_SECRET = re.compile(r"[=:]\s{0,2}(?:\"([^\s\"]{6,256})\"|'([^\s']{6,256})'|([^\s\"',;]{6,256}))")
+_SECRET = re.compile(r"[=:]\s{0,2}(?:\"([^\r\n\"]{6,}+)\"|'([^\r\n']{6,}+)'|([^\s\"',;]{6,}+))")
 _CAPITAL = r"[^\W\d_a-zß-öø-ÿа-яα-ω]"
 _WORD = rf"{_CAPITAL}(?:[^\W\d_]|['’-](?=[^\W\d_]))+"
 _NAME = re.compile(r"(?<!\w)(" + "|".join(sorted(_TITLES, key=len, reverse=True)) + rf")\.? ({_WORD}(?: {_WORD}){{0,2}})")
@@ -103,6 +108,12 @@ def find(text: str) -> list[Entity]:
             if _SAYS.search(text, max(0, at - 16), at) and (m := _SECRET.match(text, at)) and any(map(str.isalnum, m[m.lastindex])):
                 found.append((*m.span(m.lastindex), "secret"))
             at = text.find(sign, at + 1)
+    secrets = [(a, b) for a, b, kind in found if kind == "secret"]
+    if secrets:  # an address inside a longer secret is part of it
+        secrets.sort()
+        begins = [a for a, _ in secrets]
+        within = lambda a, b: (k := bisect_right(begins, a)) and b <= secrets[k - 1][1] and (a, b) != secrets[k - 1]
+        found = [x for x in found if x[2] == "secret" or not within(x[0], x[1])]
     if "AKIA" in text or "ASIA" in text:
         found += [(*m.span(), "key") for m in _KEY.finditer(text)]
     found += [(*m.span(), "iban") for m in _IBAN.finditer(text) if _iban_sum(m.group().replace(" ", "")) == 1]
@@ -168,7 +179,18 @@ class Surrogates:
         return self._order((self._order(value, left, right, tweak, 1) + 1) % n, left, right, tweak, -1)
 
     def string(self, text: str, tweak: str, alphabet_of: dict[str, str] = _ALPHABET_OF, stays: int = -1, last: str | None = None) -> str:
-        """Each letter and digit by one of its alphabet, but that at ``stays``, the last by one of ``last`` if given; a permutation of all strings of that shape."""
+        """Each letter and digit by one of its alphabet, but that at ``stays``, the last by one of ``last`` if given; a permutation of all strings of that shape.
+
+        A piece of a long string is permuted as the pieces in front of it say, so that the whole is a permutation too.
+        """
+        if len(text) > _PIECE:
+            out, before = [], b""
+            for at in range(0, len(text), _PIECE):
+                piece = text[at : at + _PIECE]
+                ends = at + _PIECE >= len(text)
+                out.append(self.string(piece, f"{tweak}\x1d{len(text)}\x1d{before.hex()}", alphabet_of, stays - at if stays >= at else -1, last if ends else None))
+                before = hashlib.blake2b(before + piece.encode("utf-8", "surrogatepass"), digest_size=32).digest()
+            return "".join(out)
         alphabets = [alphabet_of.get(c) or _neighbourhood(c) for c in text]
         if last is not None:
             alphabets[-1] = last
@@ -189,6 +211,10 @@ class Surrogates:
             out[i] = alphabet[digit]
         return "".join(out)
 
+    def drawn(self, kind: str, value: str) -> str:
+        """The surrogate of a canonical value; a long one is not kept."""
+        return self.of(kind, value) if len(value) <= _CACHED else self._of(kind, value)
+
     def _of(self, kind: str, value: str) -> str:
         """The surrogate of a canonical value."""
         if kind == "card":
@@ -255,7 +281,7 @@ class Surrogates:
 
     def written(self, value: str, kind: str) -> str:
         """The surrogate in the format the value is written in."""
-        new = self.of(kind, canonical(value, kind))
+        new = self.drawn(kind, canonical(value, kind))
         if kind in ("phone", "card", "iban"):
             signs = iter(new.replace("|", ""))
             return "".join(next(signs) if c.isalnum() else c for c in value)
@@ -325,7 +351,7 @@ def fit(work: Work, df: DataFrame, secret: bytes, text: str = "text") -> Surroga
         def draw(batches: Iterator[pa.RecordBatch], surrogates: tuple[bytes, int] = (secret, attempt)) -> Iterator[pa.RecordBatch]:
             own = Surrogates(*surrogates)
             for batch in batches:
-                new = [own.of(k, v) for k, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+                new = [own.drawn(k, v) for k, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(new, pa.string())], names=["kind", "value", "new"])
 
         drawn = values.mapInArrow(draw, "kind string, value string, new string")

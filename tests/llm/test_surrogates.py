@@ -99,3 +99,42 @@ def test_entities_and_odd_rows(spark, work, odd, none):
     found = surrogates.replaced(long, surrogates.fit(work, long, b"k")).collect()
     assert [r["n_entities"] for r in found] == [3000, 3000] and found[0]["text"] == found[1]["text"]
     assert surrogates.entities(long).select("value").distinct().count() == 1
+
+
+LONG = "".join(chr(97 + i * i % 23) + str(i % 7) + chr(65 + i % 26) + "." * (i % 40 == 0) for i in range(330))[:1000]
+
+
+@pytest.mark.parametrize("secret", [LONG, LONG * 30, "ä" * 999 + "b", "7" * 1000, "f0" * 500])
+@pytest.mark.parametrize("around", ['token = "%s" end', "token='%s' end", "token=%s end"])
+def test_long_secrets_are_replaced_whole(secret, around):
+    text = around % secret
+    assert [text[a:b] for a, b, _ in find(text)] == [secret]
+    own = Surrogates(b"key")
+    new = own.replace(text, find(text))
+    after = new[len(around.split("%s")[0]) : -len(around.split("%s")[1])]
+    assert [(new[a:b], k) for a, b, k in find(new)] == [(after, "secret")] and len(after) == len(secret)
+    assert not any(secret[i : i + 16] == after[i : i + 16] for i in range(0, len(secret) - 16))
+    assert own.replace(text, find(text)) == new and own.drawn("secret", secret[:-1] + "c") != after
+
+
+def test_pass_phrases_are_replaced_up_to_the_closing_quote():
+    for text, value in [
+        ('password: "correct horse battery staple" and more "text"', "correct horse battery staple"),
+        ("passphrase = 'see a@b.example.com or +1 988-555-2485 now'; x", "see a@b.example.com or +1 988-555-2485 now"),
+        ('token="' + "ab c " * 200 + 'd" x', "ab c " * 200 + "d"),
+    ]:
+        assert [(text[a:b], k) for a, b, k in find(text)] == [(value, "secret")]
+        assert not set(re.findall(r"\w{5,}", value)) & set(re.findall(r"\w{5,}", Surrogates(b"k").replace(text, find(text))[10:].split('"')[0]))
+    assert [k for *_, k in find("password=jane@b.example.com")] == ["email"]
+
+
+def test_long_secrets_stay_distinct():
+    own = Surrogates(b"key")
+    values = [LONG[:i] + c + LONG[i + 1 :] for i in range(0, 1000, 50) for c in "xyz" if LONG[i] not in "xyz" and LONG[i].islower()]
+    assert len({own.drawn("secret", v) for v in values}) == len(set(values)) > 5
+
+
+def test_a_long_secret_in_a_table(spark, work):
+    df = spark.createDataFrame([(1, f"token={LONG} x"), (2, f"token={LONG[:-1]}q x")], "doc_id long, text string")
+    rows = surrogates.replaced(df, surrogates.fit(work, df, b"k")).collect()
+    assert [r["n_entities"] for r in rows] == [1, 1] and not any(LONG[i : i + 16] in r["text"] for r in rows for i in range(984))
