@@ -13,7 +13,8 @@ have are joined with the items' and counted.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; an item with fewer than five words is one shingle of all
 its words and found wherever these stand in a row.  Items without words are found nowhere.  Null texts
-count as empty.  Rows that share an id (null is an id) are one document or item.  Extra columns take no part.
+count as empty.  Rows that share an id (null is an id) are one document or item, except that ``clean`` decides
+rows without an id one by one.  Extra columns take no part.
 """
 
 from __future__ import annotations
@@ -108,6 +109,9 @@ def contaminated(work: Work, documents: DataFrame, benchmark: DataFrame, key: st
 
 
 def clean(work: Work, documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents in which no item is found, with their columns as they were."""
-    bad = work.stage(contaminated(work, documents, benchmark, key, text).select(F.col(key).alias("_bad")).distinct())
-    return documents.join(bad, F.col(key).eqNullSafe(F.col("_bad")), "left_anti")
+    """The documents in which no item is found, with their columns as they were.  Rows without an id are known by their text."""
+    by_text = F.when(F.col(key).isNull(), F.sha2(F.col(text).cast("binary"), 256))
+    keyed = documents.select(F.struct(F.col(key).alias("id"), by_text.alias("text")).alias("_key"), F.col(text))
+    found = contaminated(work, keyed, benchmark, "_key", text).select(F.col("_key.id").alias("_bad"), F.col("_key.text").alias("_bad_text"))
+    bad = work.stage(found.distinct())
+    return documents.join(bad, F.col(key).eqNullSafe(F.col("_bad")) & by_text.eqNullSafe(F.col("_bad_text")), "left_anti")

@@ -138,3 +138,21 @@ def test_decontamination_of_odd_rows(spark, work, odd, none):
     assert left.columns == odd.columns and sorted(r["doc_id"] for r in left.collect()) == [1, 2, 5, 6, 7]
     assert decontam.contaminated(work, none, benchmark).collect() == []
     assert decontam.clean(work, odd, benchmark.where("false")).count() == 9
+
+
+def test_rows_without_an_id_are_cleaned_one_by_one(spark, work):
+    benchmark = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven twelve"), (2, "only here as a whole")], "item_id long, text string")
+    rows = [
+        (None, "a clean text without an id"), (None, "see: only here as a whole"), (None, "see: only here as a whole"), (None, None), (None, ""),
+        (None, "one two three four five six seven eight"), (None, "seven eight nine ten eleven twelve"),  # an item only together
+        (7, "one two three four five six seven eight"), (7, "six seven eight nine ten eleven twelve"),  # one document
+        (8, "a clean text with an id"), (9, "only here as a whole"),
+    ]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    for threshold in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            left = [tuple(r) for r in decontam.clean(work, documents, benchmark).collect()]
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert sorted(left, key=repr) == sorted([rows[i] for i in (0, 3, 4, 5, 6, 9)], key=repr)
