@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioscope.llm import bpe, decontam, html, jaccard, ranking, rollups, rules, shards, surrogates, toxicity
+from biblioscope.llm import bpe, decontam, fim, html, jaccard, ranking, rollups, rules, shards, surrogates, toxicity
 from biblioscope.llm.shared import Work
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,32 @@ def op3_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup.commit("3-removed", rollups.signed(now.join(bad, "doc_id", "left_semi"), -1))
     rollup.commit("2-revised", changes)
     return rollup.totals()
+
+
+@_query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in its fill-in-the-middle form, and as rebuilt from it."""
+    made = fim.transformed(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    restored = F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), restored)
+
+
+SQL["op11_fill_in_middle"] = r"""
+WITH cut AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+           list_transform([1, 9, 17, 25], lambda i: cast('0x' || substr(sha256('42:' || coalesce(cast(doc_id AS varchar), '')), i, 8) AS bigint)) AS h
+    FROM documents
+), parts AS (
+    SELECT doc_id, text, len(u) AS n, h, array_to_string(u[:least(h[1] % (len(u) + 1), h[2] % (len(u) + 1))], '') AS prefix,
+           array_to_string(u[least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) + 1:greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1))], '') AS middle,
+           array_to_string(u[greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) + 1:], '') AS suffix,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 50 THEN 'plain'
+                WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
