@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioscope.llm import bpe, decontam, fim, html, jaccard, ranking, rollups, rules, shards, surrogates, toxicity
+from biblioscope.llm import bpe, decontam, fim, html, jaccard, merkle, ranking, rollups, rules, shards, surrogates, toxicity
 from biblioscope.llm.shared import Work
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,3 +177,60 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
        sha256(text) AS restored_sha256
 FROM parts
 """
+
+
+@_query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, subroot, root and proof, and where a tampered third of the leaves leads to."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    values = [F.col(c) for c in documents.columns]
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    leaves = documents.select("doc_id", "lang", merkle.leaf(*values).alias("leaf"), F.when(changed, merkle.leaf(*values[:-1], merkle.lowered(values[-1]))).alias("changed"))
+    proven = merkle.proofs(Work(spark), leaves).withColumn("folded_root", merkle.folded(F.coalesce("changed", "leaf"), F.col("proof")))
+    proof = merkle.digest_of(F.col("proof")).alias("proof_sha256")
+    return proven.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _tree_sql(name: str, levels: int) -> str:
+    """Levels of the trees of ``name``0 (g, i, d, n), their runs, and the way up of every node of level 0; a tree's top stays as it is."""
+    steps = []
+    for k in range(levels):
+        steps += [
+            f"{name}r{k} AS MATERIALIZED (SELECT g, i // 8 AS i, any_value(n) AS n, list(d ORDER BY i) AS ds FROM {name}{k} GROUP BY g, i // 8)",
+            f"{name}{k + 1} AS MATERIALIZED (SELECT g, i, CASE WHEN n > 1 THEN sha256(array_to_string(ds, '')) ELSE ds[1] END AS d, (n + 7) // 8 AS n FROM {name}r{k})",
+        ]
+    return ", ".join(steps)
+
+
+def _way_sql(name: str, start: str, levels: int) -> str:
+    """The rows of ``start`` (g, i, proof, f) led up the trees of ``name``."""
+    steps, before = [], start
+    for k in range(levels):
+        sides = "array_to_string(ds[:y], '') AS b, array_to_string(ds[y + 2:], '') AS a"
+        steps.append(
+            f"{name}w{k} AS (SELECT * EXCLUDE (n, a, b, y, ds, proof, f), proof || b || a AS proof, CASE WHEN n > 1 THEN sha256(b || f || a) ELSE f END AS f"
+            f" FROM (SELECT w.* EXCLUDE (i), w.i // 8 AS i, r.n, w.i % 8 AS y, r.ds, {sides} FROM {before} w JOIN {name}r{k} r ON r.g = w.g AND r.i = w.i // 8))"
+        )
+        before = f"{name}w{k}"
+    return ", ".join(steps)
+
+
+_ENCODED = " || ".join(f"coalesce(strlen({x}::varchar)::varchar || ':' || {x}::varchar, '-')" for x in ("doc_id", "source", "lang", "n_chars"))
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: crc32 bit by bit: a step of -1 shifts, others are the next byte.
+_CRC = "xor(list_reduce(flatten(list_transform(string_split(doc_id::varchar, ''), lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])), lambda c, s: CASE WHEN s >= 0 THEN xor(c, s) ELSE xor(c >> 1, (c & 1) * 3988292384) END, 4294967295::bigint), 4294967295::bigint)"
+
+# Trees of up to 8^8 documents a language and 8^3 languages.
+SQL["op13_merkle_manifest"] = f"""
+WITH leaves AS MATERIALIZED (
+    SELECT doc_id, lang, sha256({_ENCODED} || coalesce(strlen(text)::varchar || ':' || text, '-')) AS leaf,
+           CASE WHEN {_CRC} % 3 = 0 THEN sha256({_ENCODED} || coalesce(strlen({_LOWERED})::varchar || ':' || {_LOWERED}, '-')) END AS changed
+    FROM documents
+), placed AS MATERIALIZED (
+    SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+), t0 AS MATERIALIZED (SELECT g, i, leaf AS d, n FROM placed), {_tree_sql("t", 8)},
+u0 AS MATERIALIZED (SELECT -1 AS g, g AS i, d, count(*) OVER () AS n FROM t8), {_tree_sql("u", 3)},
+start AS (SELECT doc_id, leaf, g, i, '' AS proof, coalesce(changed, leaf) AS f FROM placed), {_way_sql("t", "start", 8)},
+over AS (SELECT w.* EXCLUDE (g, i), t8.d AS subroot, -1 AS g, w.g AS i FROM tw7 w JOIN t8 ON t8.g = w.g), {_way_sql("u", "over", 3)}
+SELECT doc_id, leaf, subroot, u3.d AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = u3.d AS verified FROM uw2 JOIN u3 ON u3.g = uw2.g
+"""

@@ -1,0 +1,130 @@
+import hashlib
+import zlib
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from biblioscope.llm import merkle, queries
+from tests.llm.conftest import SF_DIR
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
+def leaf(*values):
+    return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+
+def climb(nodes, run):
+    """The top of a tree and the siblings (before, after) of each of its leaves, level by level."""
+    ways, at = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        for way, i in zip(ways, at, strict=True):
+            of = i // run * run
+            way.append((nodes[of:i], nodes[i + 1 : of + run]))
+        nodes = [sha("".join(nodes[i : i + run])) for i in range(0, len(nodes), run)]
+        at = [i // run for i in at]
+    return nodes[0], ways
+
+
+def by_hand(rows, run=8):
+    """(doc_id, leaf, subroot, root, proof) of (doc_id, source, lang, n_chars, text)."""
+    by = lambda x: (x is not None, x)
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[2], []).append((row[0], leaf(*row)))
+    order = sorted(groups, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {}
+    for lang in order:
+        groups[lang].sort(key=lambda x: (by(x[0]), x[1]))
+        trees[lang] = climb([x[1] for x in groups[lang]], run)
+    root, above = climb([trees[lang][0] for lang in order], run) if order else (None, [])
+    return [
+        (doc_id, own, trees[lang][0], root, way + top)
+        for lang, top in zip(order, above, strict=True)
+        for (doc_id, own), way in zip(groups[lang], trees[lang][1], strict=True)
+    ]
+
+
+def expected(rows):
+    texts = {row[:4]: row[4] for row in rows}
+    out = []
+    own = {leaf(*row): row for row in rows}
+    for doc_id, digest, subroot, root, way in by_hand(rows):
+        row, now = own[digest], digest
+        if doc_id is not None and zlib.crc32(str(doc_id).encode()) % 3 == 0:
+            now = leaf(*row[:4], None if row[4] is None else lowered(row[4]))
+        for before, after in way:
+            now = sha("".join(before) + now + "".join(after))
+        out.append((doc_id, digest, subroot, root, sha("".join("".join(b + a) for b, a in way)), now, now == root))
+    assert texts or not rows
+    return out
+
+
+NAMES = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+SCHEMA = "doc_id long, source string, lang string, n_chars long, text string"
+
+
+def of_query(spark, frame, tmp_path):
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.QUERIES["op13_merkle_manifest"](spark, str(tmp_path))
+    assert found.columns == NAMES
+    return sorted((tuple(r) for r in found.collect()), key=repr)
+
+
+def test_given_documents(spark, documents):
+    rows = duckdb.sql(f"select doc_id, source, lang, n_chars, text from '{SF_DIR}/documents.parquet'").fetchall()
+    found = queries.QUERIES["op13_merkle_manifest"](spark, SF_DIR).collect()
+    assert sorted(map(tuple, found)) == sorted(expected(rows))
+    assert 0 < sum(not r["verified"] for r in found) < len(found) / 2
+
+
+def test_query_is_its_sql(spark):
+    connection = duckdb.connect()
+    connection.execute(f"create view documents as select * from '{SF_DIR}/documents.parquet'")
+    cursor = connection.execute(queries.SQL["op13_merkle_manifest"])
+    assert [d[0] for d in cursor.description] == NAMES
+    assert sorted(cursor.fetchall()) == sorted(tuple(r) for r in queries.QUERIES["op13_merkle_manifest"](spark, SF_DIR).collect())
+
+
+@pytest.mark.parametrize("langs, each", [(1, 1), (1, 8), (1, 70), (9, 1), (70, 1), (3, 9), (2, 520), (11, 3)])
+def test_shapes_of_trees(spark, tmp_path, langs, each):
+    rows = [(i * langs + k, "s", f"l{k}", i, f"Text {i} of {k}") for i in range(each) for k in range(langs)]
+    assert of_query(spark, spark.createDataFrame(rows, SCHEMA), tmp_path) == sorted(expected(rows), key=repr)
+
+
+def test_uneven_groups_and_a_narrow_run(spark, work):
+    rows = [(i, None, lang, None, "A") for lang, n in ((None, 1), ("", 2), ("a", 37), ("b", 1), ("ä", 64), ("z", 5)) for i in range(n)]
+    frame = spark.createDataFrame(rows, SCHEMA).withColumn("leaf", merkle.leaf(*[F.col(c) for c in SCHEMA.replace(",", "").split()[::2]]))
+    for run in (2, 3):
+        found = merkle.proofs(work, frame.select("doc_id", "lang", "leaf"), run=run)
+        steps = F.transform("proof", lambda x: F.struct(F.lower(F.hex(x["before"])), F.lower(F.hex(x["after"]))))
+        got = [(r["doc_id"], r["leaf"], r["subroot"], r["root"], [("".join(b), "".join(a)) for b, a in r["p"]]) for r in found.withColumn("p", steps).collect()]
+        wanted = [(*x[:4], [("".join(b), "".join(a)) for b, a in x[4]]) for x in by_hand(rows, run)]
+        assert sorted(got, key=repr) == sorted(wanted, key=repr)
+        assert found.where(merkle.folded(F.col("leaf"), F.col("proof")) != F.col("root")).count() == 0
+
+
+def test_odd_rows(spark, odd, tmp_path):
+    frame = odd.selectExpr("doc_id", "source", "lang", "n_words as n_chars", "text", "'x' as root", "'x' as grp", "0L as at")
+    rows = [tuple(r)[:5] for r in frame.collect()]
+    assert of_query(spark, frame, tmp_path) == sorted(expected(rows), key=repr)
+
+
+def test_clashing_names_and_no_rows(spark, work, odd, none):
+    for frame in (odd, none):
+        frame = frame.selectExpr("doc_id", "lang", "sha2(coalesce(text, ''), 256) as leaf", "'x' as root", "'y' as at", "'z' as digest", "1 as part", "map('a', 1) as row")
+        found = merkle.proofs(work, frame)
+        assert sorted(found.columns) == sorted([*frame.columns, "subroot", "proof"])
+        assert found.where("length(root) = 64 and at = 'y' and digest = 'z' and part = 1 and row['a'] = 1").count() == frame.count()
+
+
+def test_one_group_of_rows_that_are_all_equal(spark, tmp_path):
+    rows = [(5, "s", "en", 3, "Abc")] * 300
+    assert of_query(spark, spark.createDataFrame(rows, SCHEMA), tmp_path) == sorted(expected(rows), key=repr)
