@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioscope.llm import bpe, decontam, fim, html, jaccard, merkle, ranking, rollups, rules, shards, surrogates, toxicity
+from biblioscope.llm import bpe, decontam, fim, html, jaccard, merkle, ranking, rollups, rules, shards, sketches, surrogates, toxicity
 from biblioscope.llm.shared import Work
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,6 +179,12 @@ FROM parts
 """
 
 
+@_query
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of near copies, and whether it stays."""
+    return sketches.near_copies(Work(spark), _table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @_query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's leaf, subroot, root and proof, and where a tampered third of the leaves leads to."""

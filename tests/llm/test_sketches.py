@@ -1,0 +1,120 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from biblioscope.llm import queries, sketches
+from tests.llm.conftest import SF_DIR
+from tests.llm.test_copies import shingles
+
+SCHEMA = "doc_id long, text string"
+
+
+def brute(rows, percent=85):
+    """Component of each row's document by comparing all pairs; documents are all rows of an id, those without words apart."""
+    parent = {d: d for d, _ in rows}
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    found = [(d, s) for d, t in rows if (s := shingles(t))]
+    for i, (a, s) in enumerate(found):
+        for b, t in found[i + 1 :]:
+            if a == b or 100 * len(s & t) >= percent * len(s | t):
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    return [(d, len(s := shingles(t)), find(d) if s else d, (find(d) if s else d) == d) for d, t in rows]
+
+
+def check(spark, work, rows, schema=SCHEMA, parts=3):
+    found = sketches.near_copies(work, spark.createDataFrame(rows, schema).repartition(parts))
+    assert found.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    assert sorted(map(tuple, found.collect())) == sorted(brute(rows))
+
+
+def families(seed, n=14, size=8):
+    """Chains and stars of near copies on both sides of the threshold, and a passage and a line that many share."""
+    rnd = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(500)]
+    passage = [rnd.choice(vocabulary) for _ in range(60)]
+    rows = []
+    for _ in range(n):
+        base = [rnd.choice(vocabulary) for _ in range(rnd.choice([3, 5, 9, 11, 40, 120, 200]))]
+        for _ in range(rnd.randrange(1, size)):
+            words = list(base if rnd.random() < 0.7 else rows[-1].split() if rows else base)
+            for _ in range(rnd.randrange(0, max(2, len(words) // 30))):
+                words[rnd.randrange(len(words))] = rnd.choice(vocabulary)
+            rows.append(" ".join([*words, *(passage if rnd.random() < 0.3 else [])]))
+    rows += [" ".join(passage + [rnd.choice(vocabulary) for _ in range(10)]) for _ in range(15)]
+    rnd.shuffle(rows)
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_components_agree_with_all_pairs(seed, spark, work):
+    check(spark, work, families(seed))
+
+
+def test_given_documents(spark, documents):
+    found = queries.QUERIES["op12_minhash_dedup"](spark, SF_DIR)
+    assert sorted(map(tuple, found.collect())) == sorted(brute([row[:2] for row in documents]))
+
+
+def test_rows_that_share_an_id_and_ids_of_text(spark, work):
+    a, b, c = "one two three four five six seven", "quite another text that has six words more", "a third text of nine words or so it is"
+    check(spark, work, [(3, a), (5, a), (5, b), (7, b), (9, c), (9, c), (9, ""), (11, None)])
+    check(spark, work, [("07", a), ("7", a), ("x3", b), ("x3", b), ("y", c)], "doc_id string, text string")
+
+
+@pytest.mark.parametrize("rows", ["odd", "none"])
+def test_odd_and_no_rows(spark, work, rows, request):
+    frame = request.getfixturevalue(rows)
+    found = sketches.near_copies(work, frame).collect()
+    if rows == "none":
+        assert not found
+        return
+    without = [r for r in found if r["doc_id"] is None]
+    assert [(r["n_shingles"] > 0, r["component_id"], r["kept"]) for r in without] == [(True, None, True)]
+    given = [(r["doc_id"], r["text"]) for r in frame.collect() if r["doc_id"] is not None]
+    assert sorted(tuple(r) for r in found if r["doc_id"] is not None) == sorted(brute(given))
+
+
+def test_a_passage_that_all_share_makes_no_pairs(spark, work, monkeypatch):
+    rnd = random.Random(5)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join(passage + [f"w{rnd.randrange(10**6)}" for _ in range(10)])) for i in range(1500)]
+    compared = []
+    plain = sketches._Near.compare
+    monkeypatch.setattr(sketches._Near, "compare", lambda self, pairs: (compared.append(pairs.distinct().count()), plain(self, pairs))[1])
+    found = sketches.near_copies(work, spark.createDataFrame(rows, SCHEMA))
+    assert found.where("component_id != doc_id").count() == 0
+    assert sum(compared) < 60 * len(rows)  # with each bucket's first class; by the passage itself there would be 1,124,250
+    assert compared[2] == 0
+
+
+def test_every_coordinate_fills_and_estimates_the_similarity():
+    rng = np.random.default_rng(3)
+    for n, shared in ((1, 1), (7, 6), (12, 11), (300, 276)):
+        pairs = []
+        for _ in range(200):
+            values = rng.integers(1, 2**63, 2 * n - shared).astype(np.uint64)
+            pairs += [np.unique(values[:n]), np.unique(np.concatenate([values[:shared], values[n:]]))]
+        values = sketches.sketched(pairs)
+        assert not (values == sketches._EMPTY).any()
+        agreed = (values[::2] == values[1::2]).sum(axis=1)
+        similarity = shared / (2 * n - shared)
+        assert abs(agreed.mean() / sketches.COORDINATES - similarity) < 0.01
+        if similarity >= 0.85:
+            buckets = sketches.bands(values)
+            assert agreed.min() >= sketches.agreement() and (buckets[::2] == buckets[1::2]).any(axis=1).all()
+    assert (sketches.sketched([np.zeros(0, dtype=np.uint64)]) == sketches._EMPTY).all()
+    assert sketches.missed() < 3e-7
+
+
+def test_another_threshold(spark, work):
+    rows = families(7, 6)
+    found = sketches.near_copies(work, spark.createDataFrame(rows, SCHEMA), percent=95)
+    assert sorted(map(tuple, found.select("doc_id", "n_shingles", "component_id", F.col("kept")).collect())) == sorted(brute(rows, 95))
