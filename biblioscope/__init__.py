@@ -1,8 +1,8 @@
 """Library-services reports (inventory, circulation, course reserves) as Spark jobs."""
 
 from biblioscope.plans.catalog import REPORTS, register_views, reports_catalog, run
-from biblioscope.plans.derived import store_derived
+from biblioscope.plans.upkeep import refresh_derived, store_derived, stored
 from biblioscope.sources.staging import release
 from biblioscope.sources.tables import Tables
 
-__all__ = ["REPORTS", "Tables", "register_views", "release", "reports_catalog", "run", "store_derived"]
+__all__ = ["REPORTS", "Tables", "refresh_derived", "register_views", "release", "reports_catalog", "run", "store_derived", "stored"]

@@ -41,8 +41,8 @@ def text_bool(text: Column) -> Column:
 
 
 def flag(value: Column) -> Column:
-    """Boolean whose absence means false."""
-    return F.coalesce(value.cast("boolean"), F.lit(False))
+    """Boolean, or text for one, whose absence means false."""
+    return F.coalesce(text_bool(value.cast("string")), F.lit(False))
 
 
 def absent_or_false(document: Column, key: str) -> Column:

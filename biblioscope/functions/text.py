@@ -5,101 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from biblioscope.functions.patterns import java_pattern
+
 
 def ci_match(text: Column, pattern: str | None) -> Column:
     """Case-insensitive search for ``pattern`` anywhere in ``text``.
 
-    Patterns are the database's, in which ``.`` matches line ends too.  A NULL pattern matches nothing, and a NULL text gives NULL, so that a filter on
-    either the match or its negation drops the row.
+    Patterns are the database's (``patterns``); what is none there raises ``ValueError``.  A NULL pattern matches
+    nothing, and a NULL text gives NULL, so that a filter on either the match or its negation drops the row.
     """
     if pattern is None:
         return F.lit(None).cast("boolean")
-    return text.rlike("(?ius)" + java_pattern(pattern))
-
-
-# The database's character classes and escapes, and what Java calls them.
-CLASSES = {
-    "alnum": r"\p{L}\p{Nd}", "alpha": r"\p{L}", "blank": r" \t", "cntrl": r"\p{Cntrl}", "digit": r"\p{Nd}", "graph": r"\p{Graph}",
-    "lower": r"\p{Ll}", "print": r"\p{Print}", "punct": r"\p{Punct}", "space": r"\s", "upper": r"\p{Lu}", "xdigit": "0-9A-Fa-f",
-}
-ESCAPES = {
-    "A": r"\A", "Z": r"\z", "m": r"\b(?=\w)", "M": r"\b(?<=\w)", "y": r"\b", "Y": r"\B", "a": r"\x07", "b": r"\x08", "B": r"\\\\",
-    "e": r"\e", "f": r"\f", "n": r"\n", "r": r"\r", "t": r"\t", "v": r"\x0B", "d": r"\d", "D": r"\D", "s": r"\s", "S": r"\S", "w": r"\w", "W": r"\W",
-}
-ANCHORS = "AZmMyY"
-
-
-def java_pattern(pattern: str) -> str:
-    """A regular expression of the database as a Java one; ValueError for what has no counterpart."""
-    if pattern.startswith("***"):
-        raise ValueError("director prefixes (***) are not supported")
-    out, i = [], 0
-    while i < len(pattern):
-        c = pattern[i]
-        if c == "\\":
-            piece, i = _escape(pattern, i, bracket=False)
-            out.append(piece)
-        elif c == "$":
-            out.append(r"\z")
-            i += 1
-        elif pattern.startswith(("[[:<:]]", "[[:>:]]"), i):
-            out.append(ESCAPES["m" if pattern[i + 3] == "<" else "M"])
-            i += 7
-        elif c == "[":
-            piece, i = _bracket(pattern, i)
-            out.append(piece)
-        elif c == "(" and pattern.startswith("(?", i) and not pattern.startswith(("(?:", "(?=", "(?!", "(?<=", "(?<!"), i):
-            raise ValueError(f"options and named groups are not supported: {pattern[i:]}")
-        else:
-            out.append(c)
-            i += 1
-    return "".join(out)
-
-
-def _escape(pattern: str, i: int, bracket: bool) -> tuple[str, int]:
-    """The escape at ``i`` and the place behind it."""
-    sign = pattern[i + 1 : i + 2]
-    if not sign:
-        raise ValueError("a pattern ends in a backslash")
-    if sign in ESCAPES and not (bracket and sign in ANCHORS):
-        return ESCAPES[sign], i + 2
-    if sign in "123456789" and not bracket or not sign.isalnum():
-        return "\\" + sign, i + 2
-    digits = {"x": 2, "u": 4}.get(sign)
-    code = pattern[i + 2 : i + 2 + (digits or 0)]
-    if digits and len(code) == digits and all(d in "0123456789abcdefABCDEF" for d in code):
-        return f"\\{sign}{code}", i + 2 + digits
-    raise ValueError(f"the escape \\{sign} is not supported")
-
-
-def _bracket(pattern: str, i: int) -> tuple[str, int]:
-    """The bracket expression at ``i`` and the place behind it."""
-    out, i = ["["], i + 1
-    if pattern.startswith("^", i):
-        out.append("^")
-        i += 1
-    first = True
-    while i < len(pattern):
-        c = pattern[i]
-        if c == "]" and not first:
-            return "".join([*out, "]"]), i + 1
-        first = False
-        if c == "[" and pattern[i + 1 : i + 2] == ":":
-            end = pattern.find(":]", i)
-            name = pattern[i + 2 : end]
-            if end < 0 or name not in CLASSES:
-                raise ValueError(f"unknown character class {name}")
-            out.append(CLASSES[name])
-            i = end + 2
-        elif c == "[" and pattern[i + 1 : i + 2] in (".", "="):
-            raise ValueError("collating elements are not supported")
-        elif c == "\\":
-            piece, i = _escape(pattern, i, bracket=True)
-            out.append(piece)
-        else:
-            out.append("\\" + c if c in "[]&^" else c)
-            i += 1
-    raise ValueError("a bracket expression has no end")
+    return text.rlike(java_pattern(pattern))
 
 
 def skip_null_concat(*parts: Column) -> Column:

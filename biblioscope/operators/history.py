@@ -43,3 +43,20 @@ def current_rows(df: DataFrame) -> DataFrame:
         return df.where(F.col("__current"))
     open_end = utc_instant(OPEN_END, df.schema["__end"].dataType)
     return df.where(F.col("__end").isNull() | (F.col("__end") == open_end))
+
+
+def rows_at(df: DataFrame, instant: str) -> DataFrame:
+    """Versions in force at an instant (UTC): begun by then, and not ended."""
+    at = utc_instant(instant, df.schema["__start"].dataType)
+    return df.where((F.col("__start") <= at) & (F.col("__end").isNull() | (F.col("__end") > at)))
+
+
+def changed_between(df: DataFrame, after: str, upto: str) -> DataFrame:
+    """Versions that began, or ended, behind the first instant and not behind the second (UTC).
+
+    Both are bounds on bare columns: Parquet files that lie by time are skipped by their statistics, if the columns
+    are TIMESTAMP written as microseconds (Spark pushes no bounds on TIMESTAMP_NTZ or INT96 down).
+    """
+    lo, hi = (utc_instant(x, df.schema["__start"].dataType) for x in (after, upto))
+    began = (F.col("__start") > lo) & (F.col("__start") <= hi)
+    return df.where(began | ((F.col("__end") > lo) & (F.col("__end") <= hi)))

@@ -11,7 +11,6 @@ from biblioscope.functions.documents import flag, json_instant, text_bool, text_
 from biblioscope.operators import joins
 from biblioscope.operators.lookup import with_name
 from biblioscope.operators.unnest import unnest_json
-from biblioscope.sources.staging import materialise
 from biblioscope.sources.tables import Tables
 
 ITEM_DOCUMENT = text_fields(
@@ -216,21 +215,3 @@ def item_circulation_notes(tables: Tables) -> DataFrame:
         text_bool(F.col("n.staffOnly")).alias("staff_only"),
         F.col("ordinality").cast("bigint").alias("ordinality"),
     )
-
-
-def store_derived(tables: Tables, root: str) -> Tables:
-    """Write the derived tables below ``root``; reports on the returned tables read them from there.
-
-    They are built from the base tables even where ``tables`` have them stored, and take the place of an
-    older copy when they are whole; frames on that copy have to be made anew.
-    """
-    base = tables.without("item_ext", "instance_ext", "item_circulation_notes")
-    return tables.having(
-        {
-            "item_ext": materialise(item_ext(base), f"{root}/item_ext", "item_id"),
-            "instance_ext": materialise(instance_ext(base), f"{root}/instance_ext", "instance_id"),
-            "item_circulation_notes": materialise(
-                item_circulation_notes(base), f"{root}/item_circulation_notes", "item_id", "ordinality"
-            ),
-        }
-    )

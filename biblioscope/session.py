@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Prune the big side of a selective join (one barcode, one term) before its shuffle.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Instants with statistics: bounds on them skip files and row groups (as INT96, the default, they have none).
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.ui.enabled": "false",
 }
 

@@ -1,13 +1,13 @@
-"""Sets that several branches of a report read, and stored derived tables."""
+"""Sets that several branches of a report read, and the folder all machines share."""
 
 from __future__ import annotations
 
-import uuid
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 _kept: ContextVar[list[DataFrame] | None] = ContextVar("kept", default=None)
 
@@ -41,18 +41,14 @@ def release(report: DataFrame) -> None:
         df.unpersist()
 
 
-def materialise(df: DataFrame, path: str, *keys: str, partitions: int | None = None) -> DataFrame:
-    """Write a derived table clustered by ``keys``, so that reads by key skip row groups.
+def shared_folder(spark: SparkSession) -> str:
+    """Where the driver and all executors can read and write: the folder in ``spark.checkpoint.dir``.
 
-    Keys that tell rows apart let the rows of one hot first key lie in several files.
+    Where it is not set, a single machine has its warehouse folder; a cluster has no such place by itself.
     """
-    split = [partitions, *keys] if partitions else keys
-    spark, new = df.sparkSession, f"{path}.{uuid.uuid4().hex}"
-    df.repartitionByRange(*split).sortWithinPartitions(*keys).write.parquet(new)
-    jvm = spark.sparkContext._jvm
-    old, whole = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(new)
-    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(old, True)
-    if not fs.rename(whole, old):
-        raise OSError(f"{new} could not be put in place")
-    return spark.read.parquet(path)
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+    return folder.rstrip("/")

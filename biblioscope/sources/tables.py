@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from biblioscope.operators.history import current_rows
+from biblioscope.operators.history import current_rows, rows_at
 
 
 class Tables:
@@ -54,6 +54,16 @@ class Tables:
         """The same relations but these."""
         return Tables(self.spark, lambda name: None if name in names else self.get(name))
 
+    def as_of(self, instant: str) -> Tables:
+        """The same relations as they were at an instant (UTC): current tables are taken from their histories, where these have spans."""
+
+        def find(name: str) -> DataFrame | None:
+            history = None if name.endswith("__") else self.get(name + "__")
+            dated = history is not None and {"__start", "__end"} <= set(history.columns)
+            return rows_at(history, instant) if dated else self.get(name)
+
+        return Tables(self.spark, find)
+
     def get(self, name: str) -> DataFrame | None:
         if name not in self._known:
             frame = self._find(name)

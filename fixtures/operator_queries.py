@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -11,10 +12,12 @@ from pyspark.sql import functions as F
 from biblioscope import Tables
 from biblioscope.functions import dates, documents, text
 from biblioscope.operators import aggregates, contract, history, lookup, spans, unnest
-from biblioscope.plans import courses, derived, inventory, notes
+from biblioscope.plans import courses, derived, inventory, notes, upkeep
+from biblioscope.sources.staging import shared_folder
 from fixtures.oracle_text import elements as elements_sql
 from fixtures.oracle_text import json_text as json_sql
 from fixtures.oracle_text import local_day as day_sql
+from fixtures.report_queries import REPORT_SQL
 
 c = F.col
 Query = Callable[[Tables], DataFrame]
@@ -69,6 +72,34 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@_check(
+    "op_as_of",
+    """select id, barcode, holdings_record_id from {item__t__}
+    where __start <= timestamp '2020-01-01' and __end > timestamp '2020-01-01'""",
+)
+def _(t: Tables) -> DataFrame:
+    return t.without("item__t").as_of("2020-01-01 00:00:00")["item__t"].select("id", "barcode", "holdings_record_id")
+
+
+def _refreshed(t: Tables, name: str) -> DataFrame:
+    """A derived table stored as it was before a day of changes, with a code table of other names, and then refreshed."""
+    root = f"{shared_folder(t.spark)}/{uuid.uuid4().hex}"
+    other_name = F.when(c("id").like("%2"), F.concat(F.lit("former "), "name")).otherwise(c("name")).alias("name")
+    older = t.having({code: t[code].select("id", other_name) for code in ("location__t", "instance_status__t")})
+    upkeep.store_derived(older, root, as_of="2020-01-01 00:00:00")
+    return upkeep.refresh_derived(t, root, "2024-01-01 00:00:00")[name]
+
+
+@_check("op_derived_refresh", REPORT_SQL["r11_item_ext"])
+def _(t: Tables) -> DataFrame:
+    return _refreshed(t, "item_ext")
+
+
+@_check("op_derived_refresh_instances", REPORT_SQL["r09_instance_ext"])
+def _(t: Tables) -> DataFrame:
+    return _refreshed(t, "instance_ext")
+
+
 @_check(
     "op_date_range_default",
     """select item_id, count(loan_id) as loans from {loans_items}
@@ -118,6 +149,15 @@ def _(t: Tables) -> DataFrame:
     return t["item_notes"].where(text.ci_match(c("note"), "SRC1[0-5]?$")).select("item_id", "note")
 
 
+@_check(
+    "op_regex_words",
+    r"""select item_id, note from {item_notes}
+    where regexp_matches(note, '(?i)(^|[^\p{{L}}\p{{Nd}}_])É[\p{{L}}\p{{Nd}}_]{{2}}($|[^\p{{L}}\p{{Nd}}_])')""",
+)
+def _(t: Tables) -> DataFrame:
+    return t["item_notes"].where(text.ci_match(c("note"), r"\mÉ\w{2}\M")).select("item_id", "note")
+
+
 @_check(
     "op_regex_anchored",
     f"select id, {json_sql('action')} as action from {{loan__}} where {json_sql('action')} in ('checkedOut', 'renewed')",

@@ -14,6 +14,19 @@ from fixtures.dialects import Spark
 
 SOURCES = "region nation customer supplier part orders lineitem events documents".split()
 OPEN = "9999-12-31 00:00:00"
+# When versions of items and instances begin: at first, and on the day of a change.
+FIRST, CHANGE = "2019-01-01 00:00:00", "2020-06-01 00:00:00"
+
+
+def _versions(d: Spark, relation: str, older: str, columns: str = "*", flag: bool = False) -> str:
+    """A history of a current relation.  Keys in 7 changed once, of which those in 17 came then; keys in 5 had a twin that went."""
+    current, gone = (", true as __current", ", false as __current") if flag else ("", "")
+    return f"""select {columns}, concat(id, '-2') as __id, case when id like '%7' then {d.instant(CHANGE)} else {d.instant(FIRST)} end as __start,
+            {d.instant(OPEN)} as __end{current} from {{{relation}}}
+        union all select {older}, concat(id, '-1'), {d.instant(FIRST)}, {d.instant(CHANGE)}{gone} from {{{relation}}}
+            where id like '%7' and id not like '%17'
+        union all select {older.replace("id,", "concat('gone', id),", 1)}, concat(id, '-0'), {d.instant(FIRST)}, {d.instant(CHANGE)}{gone} from {{{relation}}}
+            where id like '%5'"""
 
 
 def item(d: Spark) -> str:
@@ -62,6 +75,17 @@ def item(d: Spark) -> str:
         {document} as jsonb from {{part}}"""
 
 
+def item__(d: Spark) -> str:
+    document = d.document(volume="'old volume'", status=d.record(name="'On order'"), circulationNotes=d.array(d.record(id="'1'", note="'old'")))
+    keys = "holdingsrecordid, effectivelocationid, materialtypeid, permanentloantypeid, temporaryloantypeid, permanentlocationid, temporarylocationid"
+    return _versions(d, "item", f"id, creation_date, {keys}, {document}", f"id, creation_date, {keys}, jsonb")
+
+
+def instance__(d: Spark) -> str:
+    document = d.document(matchKey="'OLD'", isBoundWith="'on'")
+    return _versions(d, "instance", f"id, {document}", "id, jsonb")
+
+
 def instance(d: Spark) -> str:
     t = d.text
     codes = d.array("case when c_custkey % 10 = 0 then 'known-dup' else 'other' end", "'c2'")
@@ -161,8 +185,11 @@ def item__t(d: Spark) -> str:
 
 
 def item__t__(d: Spark) -> str:
-    return """select id, barcode, holdings_record_id, true as __current from {item__t}
-        union all select id, concat('OLD', barcode), holdings_record_id, false from {item__t}"""
+    """Every item had another barcode before; keys in 7 until the day of a change."""
+    columns = "hrid, enumeration, volume, copy_number, holdings_record_id, effective_location_id"
+    begin = f"case when id like '%7' then {d.instant(CHANGE)} else {d.instant(FIRST)} end"
+    return f"""select id, barcode, {columns}, true as __current, {begin} as __start, {d.instant(OPEN)} as __end from {{item__t}}
+        union all select id, concat('OLD', barcode), {columns}, false, {d.instant("2018-01-01 00:00:00")}, {begin} from {{item__t}}"""
 
 
 def holdings_record__t(d: Spark) -> str:
@@ -173,7 +200,11 @@ def holdings_record__t(d: Spark) -> str:
 
 
 def holdings_record__t__(d: Spark) -> str:
-    return "select id, instance_id, permanent_location_id from {holdings_record__t}"
+    """Every third holding stood somewhere else before, every sixth hung on another instance there."""
+    t = d.text
+    return f"""select id, instance_id, permanent_location_id, true as __current from {{holdings_record__t}}
+        union all select {t("s_suppkey")}, {t("case when s_suppkey % 6 = 0 then s_suppkey + 1 else s_suppkey end")}, {t("(s_nationkey + s_suppkey % 2) % 25")}, false
+            from {{supplier}} where s_suppkey % 3 = 0"""
 
 
 def instance__t(d: Spark) -> str:
@@ -189,17 +220,22 @@ def instance__t(d: Spark) -> str:
 
 
 def instance__t__(d: Spark) -> str:
-    return "select id, title from {instance__t}"
+    """All columns, with the titles of before."""
+    columns = "hrid, index_title, source, cataloged_date, instance_type_id, mode_of_issuance_id, previously_held, discovery_suppress, staff_suppress, status_id, status_updated_date"
+    return _versions(d, "instance__t", f"id, concat('Old ', title), {columns}", f"id, title, {columns}", flag=True)
 
 
 def check_in__t__(d: Spark) -> str:
+    """Every fourth check-in has an older version, which gave another status, or the same."""
+    status = "case event_type when 'view' then 'Available' when 'click' then 'Checked out' when 'purchase' then 'Checked out' else 'In transit' end"
+    older = f"case when event_id % 8 = 0 then 'Available' else {status} end"
     return f"""select {d.text("event_id")} as id, {d.text("user_id")} as item_id, ts as occurred_date_time,
-        case event_type when 'view' then 'Available' when 'click' then 'Checked out'
-            when 'purchase' then 'Checked out' else 'In transit' end as item_status_prior_to_check_in from {{events}}"""
+            {status} as item_status_prior_to_check_in, true as __current from {{events}}
+        union all select {d.text("event_id")}, {d.text("user_id")}, ts, {older}, false from {{events}} where event_id % 4 = 0"""
 
 
 def check_in__t(d: Spark) -> str:
-    return "select * from {check_in__t__}"
+    return "select id, item_id, occurred_date_time, item_status_prior_to_check_in from {check_in__t__} where __current"
 
 
 def loans_items(d: Spark) -> str:
@@ -264,7 +300,9 @@ RELATIONS: dict[str, Callable[[Spark], str]] = {
     f.__name__: f
     for f in (
         item,
+        item__,
         instance,
+        instance__,
         coursereserves_terms,
         coursereserves_departments,
         coursereserves_courselistings__,

@@ -329,15 +329,6 @@ def test_kept_sets_are_noted_for_their_report_alone(spark):
     spark.catalog.clearCache()
 
 
-def test_materialised_table_is_clustered_by_key(spark, tmp_path):
-    frame = spark.range(1000).select(F.col("id").cast("string").alias("item_id"))
-    stored = staging.materialise(frame, str(tmp_path / "t"), "item_id", partitions=4)
-    bounds = stored.groupBy(F.input_file_name()).agg(F.min("item_id"), F.max("item_id")).collect()
-    ranges = sorted((low, high) for _, low, high in bounds)
-    assert stored.count() == 1000 and len(ranges) == 4
-    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
-
-
 def test_grouping_helper_is_exact_on_a_hot_group(spark):
     """A third of all rows under one key: same counts as Python's."""
     rows = [("hot" if i % 3 == 0 else f"k{i % 50}", f"t{i % 7}") for i in range(3000)]
@@ -363,12 +354,6 @@ def test_patterns_are_the_databases(spark, pattern, text, found):
     assert one(spark, functions_text.ci_match(F.lit(text), pattern)) == (found,)
 
 
-@pytest.mark.parametrize("pattern", ["[[:nonsense:]]", "[[.a.]]", "(?x)a", "***=a", r"\q", "a\\", "[a"])
-def test_patterns_without_a_counterpart_are_an_error(pattern):
-    with pytest.raises(ValueError):
-        functions_text.java_pattern(pattern)
-
-
 @pytest.mark.parametrize(("text", "value"), [("on", True), (" OFF ", False), ("of", False), ("tru", True), ("0", False), ("Yes", True), (None, None)])
 def test_booleans_are_the_databases(spark, text, value):
     assert one(spark, documents.text_bool(F.lit(text).cast("string"))) == (value,)
