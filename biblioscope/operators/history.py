@@ -37,6 +37,13 @@ def version_span(df: DataFrame, key: str, first: str = "first_start", last: str
     )
 
 
+def with_version_span(df: DataFrame, key: str, first: str = "first_start", last: str = "last_end") -> DataFrame:
+    """Every version with the ``version_span`` of its key beside it: for histories that lie by ``key``, where it needs no shuffle."""
+    own = Window.partitionBy(key)
+    open_ended = F.count(F.lit(1)).over(own) > F.count("__end").over(own)
+    return df.withColumns({first: F.min("__start").over(own), last: F.when(~open_ended, F.max("__end").over(own))})
+
+
 def current_rows(df: DataFrame) -> DataFrame:
     """Current versions: by the ``__current`` flag, else by an open ``__end``."""
     if "__current" in df.columns:

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 
 def count_in_spans(
-    events: DataFrame, spans: DataFrame, on: str, by: list[str], day: str, start: str, end: str, count: str
+    events: DataFrame, spans: DataFrame, on: str, by: list[str], day: str, start: str, end: str, count: str, times: str | None = None
 ) -> DataFrame:
     """Number of (event, span) pairs with equal ``on`` and ``day`` in ``[start, end]``, per ``on`` and ``by``.
 
-    Groups without a pair give no row; a span without a start or an end matches nothing.
+    Groups without a pair give no row; a span without a start or an end matches nothing.  A row of ``events`` is
+    one event, or as many as its column ``times`` says.
 
     The pairs are never built.  Events are first reduced to one count per key and day,
     then to running totals by day; a span then holds total(end) - total(start - 1).  So the
@@ -27,8 +28,8 @@ def count_in_spans(
     ).alias("edge")
     edges = spans.where(F.col(on).isNotNull() & (F.col(start) <= F.col(end))).select(on, *by, edge)
     edges = edges.select(on, *by, F.col("edge.day").alias("day"), F.col("edge.sign").alias("sign"))
-    counted = events.select(on, F.col(day).alias("day"), F.lit(1).alias("n"))
-    asked = edges.select(on, "day", F.lit(0).alias("n"))
+    counted = events.select(on, F.col(day).alias("day"), (F.lit(1) if times is None else F.col(times)).cast("long").alias("n"))
+    asked = edges.select(on, "day", F.lit(0).cast("long").alias("n"))
     # Where the keys are small enough to broadcast, Spark moves this semi join down to the
     # events; otherwise the events are reduced to one row per key and day before they meet it.
     daily = (

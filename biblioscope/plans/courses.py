@@ -11,7 +11,7 @@ from biblioscope.functions.dates import FIRST_DAY, LAST_DAY, earlier_of, in_day_
 from biblioscope.functions.documents import json_text, text_fields, uuid_norm
 from biblioscope.functions.text import call_number, ci_match, normalised
 from biblioscope.operators.contract import sorted_by
-from biblioscope.operators.history import latest_per_key, version_span
+from biblioscope.operators.history import latest_per_key, version_span, with_version_span
 from biblioscope.operators.joins import only, spread_join
 from biblioscope.operators.spans import count_in_spans
 from biblioscope.plans.derived import instance_ext, item_ext
@@ -52,13 +52,13 @@ def circ_stats_course_reserves(
         .select("item_id")
         .distinct()
     )
-    counts = (
-        tables["loans_items"]
-        .where(F.col("loan_id").isNotNull() & in_day_range(F.col("loan_date"), start_date, end_date))
-        .groupBy("item_id")
-        .agg(F.count("loan_id").alias("circ_count"))
-        .join(reserved, "item_id", "left_semi")
-    )
+    daily = tables.get("loans_daily")
+    if daily is None:
+        loans = tables["loans_items"].where(F.col("loan_id").isNotNull() & in_day_range(F.col("loan_date"), start_date, end_date))
+        counts = loans.groupBy("item_id").agg(F.count("loan_id").alias("circ_count"))
+    else:
+        counts = daily.where(in_day_range(F.col("day"), start_date, end_date)).groupBy("item_id").agg(F.sum("loans").alias("circ_count"))
+    counts = counts.join(reserved, "item_id", "left_semi")
     holdings = tables["holdings_ext"].select(F.col("holdings_id").alias("holdings_record_id"), "instance_id")
     items = item_ext(
         tables, ["item_id", "barcode", "holdings_record_id"], only=reserved.withColumnRenamed("item_id", "id")
@@ -139,17 +139,26 @@ def _term_courses(tables: Tables, version: str, match: Column) -> DataFrame:
 
 def _reserve_items(tables: Tables, version: str, listings: DataFrame) -> DataFrame:
     """Newest version of every reserve on the given listings, with the days it was in force there."""
-    reserves = tables["coursereserves_reserves" + version]
+    relation = "coursereserves_reserves" + version
+    reserves = tables[relation]
     tie = [c for c in ("__id",) if c in reserves.columns]
-    versions = reserves.select("id", F.col("courselistingid").alias("clid"), "__start", *tie, "jsonb")
-    # A listing may hold very many reserves: they are parsed where they lie, meet the listings in a join
-    # that adaptive execution broadcasts or splits, and are cut to one version before the next shuffle.
-    latest = kept(latest_per_key(spread_join(_reserve_fields(versions), listings, "clid"), ["id", "clid"]))
-    # All versions of these reserves, whatever their listing.  The semi join moves below the
-    # aggregation, so that the history of the others does not get there.
-    spans = version_span(reserves, "id").join(latest.select("id").distinct(), "id", "left_semi")
-    first, last = local_day(spans, "first_start"), local_day(spans, "last_end")
-    return spread_join(latest, spans, "id", "left").select(
+    columns = ["id", F.col("courselistingid").alias("clid"), "__start", *tie, "jsonb"]
+    if tables.clustered(relation) == ["id"]:
+        # The versions of a reserve lie together: spans and newest versions are found where they lie, in one pass
+        # over the history, and the listings meet what is left.  The newest of a listing is the same before and after.
+        versions = with_version_span(reserves, "id").select(*columns, "first_start", "last_end")
+        spanned = spread_join(latest_per_key(_reserve_fields(versions), ["id", "clid"]), listings, "clid")
+    else:
+        # A listing may hold very many reserves: they are parsed where they lie, meet the listings in a join
+        # that adaptive execution broadcasts or splits, and are cut to one version before the next shuffle.
+        versions = _reserve_fields(reserves.select(*columns))
+        latest = kept(latest_per_key(spread_join(versions, listings, "clid"), ["id", "clid"]))
+        # All versions of these reserves, whatever their listing.  The semi join moves below the
+        # aggregation, so that the history of the others does not get there.
+        spans = version_span(reserves, "id").join(latest.select("id").distinct(), "id", "left_semi")
+        spanned = spread_join(latest, spans, "id", "left")
+    first, last = local_day(spanned, "first_start"), local_day(spanned, "last_end")
+    return spanned.select(
         F.col("id").alias("_reserve"),
         "clid",
         "item_id",
@@ -172,15 +181,8 @@ def _reserve_fields(versions: DataFrame) -> DataFrame:
     )
 
 
-def _checkouts(tables: Tables, reserves: DataFrame) -> DataFrame:
-    """Item and local day of every checkout or renewal that may fall into a reserve's span."""
-    loans = tables["loan__"]
-    # The spans bound the loan scan; two days of slack cover the zone shift, which keeps the
-    # bound on the bare column and so pushed down.
-    spans = reserves.where("crr_start <= crr_end")
-    first = spans.agg(F.date_sub(F.min("crr_start"), 2).cast(loans.schema["creation_date"].dataType)).scalar()
-    last = spans.agg(F.date_add(F.max("crr_end"), 2).cast(loans.schema["creation_date"].dataType)).scalar()
-    loans = loans.where(F.col("creation_date").between(first, last))
+def _checkouts(loans: DataFrame) -> DataFrame:
+    """Item and local day of every checkout or renewal."""
     # json_tuple is not repeated when the filter moves down, so a document is parsed once.
     return (
         loans.where(F.col("id").isNotNull())
@@ -190,6 +192,45 @@ def _checkouts(tables: Tables, reserves: DataFrame) -> DataFrame:
     )
 
 
+def _between_days(loans: DataFrame, first: Column, last: Column) -> DataFrame:
+    """Loans that may fall on local days in [first, last]: two days of slack cover the zone shift, which keeps the bound on the bare column and so pushed down."""
+    kind = loans.schema["creation_date"].dataType
+    return loans.where(F.col("creation_date").between(F.date_sub(first, 2).cast(kind), F.date_add(last, 2).cast(kind)))
+
+
+def _checkouts_within(tables: Tables, reserves: DataFrame) -> DataFrame:
+    """(item_id, day, times) of the checkouts that may fall into a reserve's span, from the daily counts where these are provided."""
+    spans = reserves.where("crr_start <= crr_end")
+    first, last = spans.agg(F.min("crr_start")).scalar(), spans.agg(F.max("crr_end")).scalar()
+    daily = tables.get("checkouts_daily")
+    if daily is not None:
+        return daily.where(F.col("day").between(first, last)).select("item_id", "day", F.col("checkouts").alias("times"))
+    return _checkouts(_between_days(tables["loan__"], first, last)).withColumn("times", F.lit(1))
+
+
+def checkouts_daily(tables: Tables, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+    """(item_id, day, checkouts): checkouts and renewals of each item by local day, of all days or those in [first, last].
+
+    Counts of days add up to those of any period, so the term reports read these instead of loan documents
+    where they are provided under this name.
+    """
+    loans = tables["loan__"]
+    if first is not None and last is not None:
+        loans = _between_days(loans, F.lit(first), F.lit(last))
+    counted = _checkouts(loans).where(F.col("item_id").isNotNull() & F.col("day").isNotNull())
+    if first is not None and last is not None:
+        counted = counted.where(F.col("day").between(F.lit(first), F.lit(last)))
+    return counted.groupBy("item_id", "day").agg(F.count(F.lit(1)).alias("checkouts"))
+
+
+def loans_daily(tables: Tables, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+    """(item_id, day, loans): loans of each item by UTC day, of all days or those in [first, last]; read by the course report."""
+    loans = tables["loans_items"].where(F.col("loan_id").isNotNull() & F.col("item_id").isNotNull() & F.col("loan_date").isNotNull())
+    if first is not None and last is not None:
+        loans = loans.where(in_day_range(F.col("loan_date"), first, last))
+    return loans.groupBy("item_id", F.to_date("loan_date").alias("day")).agg(F.count(F.lit(1)).alias("loans"))
+
+
 def _term_circ_stats(tables: Tables, version: str, match: Column) -> DataFrame:
     # Both kept sets are read several times below, and their true sizes settle the joins.
     courses = kept(_term_courses(tables, version, match))
@@ -211,7 +252,7 @@ def _term_circ_stats(tables: Tables, version: str, match: Column) -> DataFrame:
     )
     shelf = only(shelf, reserves, "shelf_id")
     checkouts = count_in_spans(
-        _checkouts(tables, reserves),
+        _checkouts_within(tables, reserves),
         reserves,
         on="item_id",
         by=["item_barcode", "clid"],
@@ -219,6 +260,7 @@ def _term_circ_stats(tables: Tables, version: str, match: Column) -> DataFrame:
         start="crr_start",
         end="crr_end",
         count="loans",
+        times="times",
     )
     return (
         spread_join(reserves, shelf, "shelf_id", "left")

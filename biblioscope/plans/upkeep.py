@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from biblioscope.functions.dates import utc_instant
 from biblioscope.operators.history import changed_between, rows_at
-from biblioscope.plans import derived
+from biblioscope.plans import courses, derived
 from biblioscope.sources.snapshots import Snapshots
 from biblioscope.sources.tables import Tables
 
@@ -47,10 +47,14 @@ DERIVED = {
 }
 
 
+#: Additive summaries by item and day, and how they are made for the days [first, last].
+DAILY: dict[str, Callable[..., DataFrame]] = {"checkouts_daily": courses.checkouts_daily, "loans_daily": courses.loans_daily}
+
+
 def stored(tables: Tables, root: str) -> Tables:
-    """The same relations with the derived tables of the newest versions below ``root``; reports read them."""
+    """The same relations with the derived and daily tables of the newest versions below ``root``; reports read them."""
     store = Snapshots(tables.spark, root)
-    return tables.having({name: store.read(name) for name in DERIVED if store.versions(name)})
+    return tables.having({name: store.read(name) for name in [*DERIVED, *DAILY] if store.versions(name)})
 
 
 def _instant(text: str) -> str:
@@ -146,3 +150,26 @@ def _sources(history: DataFrame, keys: DataFrame, key: str, since: str, upto: st
     looked_up = rows_at(history, upto).join(others.withColumnRenamed(key, "id"), "id", "left_semi")
     return recent.unionByName(looked_up.select(*recent.columns))
 
+
+def store_daily(tables: Tables, root: str, names: list[str] | None = None) -> Tables:
+    """Write the daily counts below ``root``, clustered by day; reports on the returned tables read them instead of loans."""
+    store, base = Snapshots(tables.spark, root), tables.without(*DAILY)
+    for name in names or DAILY:
+        store.put(name, DAILY[name](base), ["day"], ["day", "item_id"])
+    return stored(tables, root)
+
+
+def refresh_daily(tables: Tables, root: str, first: dt.date, last: dt.date, layers: int = LAYERS) -> Tables:
+    """Count the days [first, last] anew, from the loans of these days alone, and let the others be.
+
+    A day is replaced as a whole, so doing it again changes nothing.
+    """
+    store, base = Snapshots(tables.spark, root), tables.without(*DAILY)
+    span = F.sequence(F.lit(first), F.lit(last)) if first <= last else F.array().cast("array<date>")
+    days = tables.spark.range(1).select(F.explode(span).alias("day"))
+    for name, make in DAILY.items():
+        if store.versions(name):
+            store.change(name, make(base, first, last), days)
+            if len(store.info(name)["layers"]) > layers:
+                store.compact(name)
+    return stored(tables, root)
