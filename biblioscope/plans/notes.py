@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from biblioscope.functions.documents import json_text, text_bool, text_fields, uuid_norm
+from biblioscope.functions.documents import database_text, json_text, text_bool, text_fields, uuid_norm
 from biblioscope.functions.text import ci_match, class_list_call_number, skip_null_concat
 from biblioscope.operators.aggregates import joined_texts, text_counts
 from biblioscope.operators.contract import sorted_by
@@ -94,7 +94,7 @@ def googlebooknotes(tables: Tables, note_type: str = NOTE_TYPE) -> DataFrame:
             uuid_norm(F.col("n.itemNoteTypeId")).alias("type_id"),
             json_text(document, "hrid").alias("item_hrid"),
             json_text(document, "barcode").alias("barcode"),
-            json_text(document, "formerIds").alias("formerids"),
+            database_text(document, "formerIds", depth=2).alias("formerids"),
             json_text(document, "effectiveShelvingOrder").alias("shelving_order"),
             F.col("n.note").alias("note"),
             text_bool(F.col("n.staffOnly")).cast("string").alias("staff_only"),

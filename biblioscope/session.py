@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     # Instants with statistics: bounds on them skip files and row groups (as INT96, the default, they have none).
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # Of equal keys in a document the last counts, as in the database.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.ui.enabled": "false",
 }
 

@@ -13,11 +13,13 @@ from biblioscope import Tables
 from biblioscope.functions import dates, documents, text
 from biblioscope.operators import aggregates, contract, history, lookup, spans, unnest
 from biblioscope.plans import courses, derived, inventory, notes, upkeep
+from biblioscope.sources import layout
 from biblioscope.sources.staging import shared_folder
+from fixtures.oracle_text import array_text as array_sql
 from fixtures.oracle_text import elements as elements_sql
 from fixtures.oracle_text import json_text as json_sql
 from fixtures.oracle_text import local_day as day_sql
-from fixtures.report_queries import REPORT_SQL
+from fixtures.report_queries import REPORT_QUERIES, REPORT_SQL
 
 c = F.col
 Query = Callable[[Tables], DataFrame]
@@ -676,6 +678,60 @@ def _(t: Tables) -> DataFrame:
     return rows.select("id", c("i.identifierTypeId").alias("id_type"), c("i.value").alias("value"))
 
 
-@_check("op_json_array_text", f"select id, {json_sql('statisticalCodeIds')} as codes from {{instance}}")
+@_check("op_json_array_text", f"select id, {array_sql('statisticalCodeIds')} as codes from {{instance}}")
 def _(t: Tables) -> DataFrame:
-    return t["instance"].select("id", documents.json_text(c("jsonb"), "statisticalCodeIds").alias("codes"))
+    return t["instance"].select("id", documents.database_text(c("jsonb"), "statisticalCodeIds").alias("codes"))
+
+
+_IDENTIFIER = """'{{"value": ' || json_extract(e, '$.value') || ', "identifierTypeId": ' || json_extract(e, '$.identifierTypeId') || '}}'"""
+
+
+@_check("op_json_document_text", f"select id, {array_sql('identifiers', each=_IDENTIFIER)} as identifiers from {{instance}}")
+def _(t: Tables) -> DataFrame:
+    """Objects in an array: shorter keys come first."""
+    return t["instance"].select("id", documents.database_text(c("jsonb"), "identifiers", depth=2).alias("identifiers"))
+
+
+# --- layouts and summaries that reports read instead -------------------------------------------
+
+
+@_check("op_reserves_by_bucket", REPORT_SQL["r05_course_term_circ_stats"])
+def _(t: Tables) -> DataFrame:
+    """The term report on histories that lie in buckets of their key."""
+    schema = f"histories_{uuid.uuid4().hex}"
+    t.spark.sql(f"create schema {schema} location '{shared_folder(t.spark)}/{schema}'")
+    names = ["coursereserves_courselistings__", "coursereserves_courses__", "coursereserves_reserves__"]
+    return REPORT_QUERIES["r05_course_term_circ_stats"](layout.store_histories(t, schema, 8, names))
+
+
+_CHECKOUTS_SQL = f"""select {json_sql("itemId")} as item_id, {day_sql("creation_date")} as day, count(*) as checkouts
+    from {{loan__}} where {json_sql("action")} in ('checkedOut', 'renewed') group by all"""
+
+
+@_check("op_checkouts_daily", _CHECKOUTS_SQL)
+def _(t: Tables) -> DataFrame:
+    return courses.checkouts_daily(t)
+
+
+@_check("op_loans_daily", "select item_id, cast(loan_date as date) as day, count(*) as loans from {loans_items} group by all")
+def _(t: Tables) -> DataFrame:
+    return courses.loans_daily(t)
+
+
+@_check("op_daily_refresh", _CHECKOUTS_SQL)
+def _(t: Tables) -> DataFrame:
+    """Daily counts stored when the loans of some days had not come or were wrong, and those days counted anew."""
+    root = f"{shared_folder(t.spark)}/{uuid.uuid4().hex}"
+    days = dt.date(1995, 3, 1), dt.date(1995, 9, 30)
+    inside = dates.local_day(t["loan__"], "creation_date").between(*days)
+    older = t["loan__"].where(~inside).unionByName(t["loan__"].where(inside & (F.col("id").like("%1"))))
+    upkeep.store_daily(t.having({"loan__": older}), root, ["checkouts_daily"])
+    return upkeep.refresh_daily(t, root, *days)["checkouts_daily"]
+
+
+def _from_daily(t: Tables) -> Tables:
+    return t.having({name: make(t) for name, make in upkeep.DAILY.items()}).without("loan__", "loans_items")
+
+
+for _name, _report in (("op_course_stats_from_daily", "r01_circ_stats_course_reserves"), ("op_term_stats_from_daily", "r05_course_term_circ_stats"), ("op_permanent_stats_from_daily", "r12_perm_reserve_circ_stats")):
+    _check(_name, REPORT_SQL[_report])(lambda t, report=_report: REPORT_QUERIES[report](_from_daily(t)))

@@ -17,3 +17,9 @@ def elements(relation: str, key: str, columns: str) -> str:
     return f"""(select {columns}, unnest(from_json(json_extract(jsonb, {path}), '["JSON"]')) as n,
         unnest(range(1, cast(json_array_length(jsonb, {path}) as bigint) + 1)) as ord
         from {{{relation}}} where json_type(jsonb, {path}) = 'ARRAY')"""
+
+
+def array_text(path: str, document: str = "jsonb", each: str = "e") -> str:
+    """A document's array as the database prints it, each element ``e`` as ``each`` says."""
+    elements = f"from_json(json_extract({document}, '$.{path}'), '[\"JSON\"]')"
+    return f"'[' || array_to_string(list_transform({elements}, lambda e: {each}), ', ') || ']'"

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from biblioscope import Tables, run
-from fixtures.oracle_text import elements, json_text, local_day
+from fixtures.oracle_text import array_text, elements, json_text, local_day
 
 RECORDS = "https://catalog.example.org/Record/"
 
@@ -176,7 +176,7 @@ REPORT_SQL: dict[str, str] = {
     "r08_notes_of_type": f"""
         select cast(s.discovery_suppress as varchar) as discovery_suppress, {json_text("hrid", "i.jsonb")} as item_hrid,
             h.hrid as holdings_hrid, l.name as item_location, {json_text("barcode", "i.jsonb")} as barcode,
-            {json_text("formerIds", "i.jsonb")} as formerids, h.call_number,
+            {array_text("formerIds", "i.jsonb")} as formerids, h.call_number,
             {json_text("effectiveShelvingOrder", "i.jsonb")} as shelving_order, m.name as material_type, s.title,
             y.name as note_type_name, {json_text("note", "i.n")} as note, {json_text("staffOnly", "i.n")} as staff_only,
             cast(i.ord as integer) as note_ordinality

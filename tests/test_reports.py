@@ -408,7 +408,7 @@ def test_notes_of_type(world):
         location__t=[{"id": "l", "name": "Stacks"}], material_type__t=[{"id": "m", "name": "book"}],
     )
     assert rows(run(tables, "googlebooknotes")) == [
-        ("false", "it1", "ho1", "Stacks", None, '["a","b"]', "Q", None, "book", "T", "Books", "second", "true", 2)
+        ("false", "it1", "ho1", "Stacks", None, '["a", "b"]', "Q", None, "book", "T", "Books", "second", "true", 2)
     ]
 
 
