@@ -2,7 +2,7 @@
 
 from biblioscope.plans.catalog import REPORTS, register_views, reports_catalog, run
 from biblioscope.plans.upkeep import refresh_daily, refresh_derived, store_daily, store_derived, stored
-from biblioscope.sources.layout import store_histories
+from biblioscope.sources.layout import store_histories, store_lookups
 from biblioscope.sources.staging import release
 from biblioscope.sources.tables import Tables
 
@@ -18,5 +18,6 @@ __all__ = [
     "store_daily",
     "store_derived",
     "store_histories",
+    "store_lookups",
     "stored",
 ]

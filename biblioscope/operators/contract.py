@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,11 +30,33 @@ def _as_declared(df: DataFrame, field: T.StructField) -> Column:
     return column.cast(field.dataType)
 
 
+_collation: ContextVar[str | None] = ContextVar("collation", default=None)
+
+
+@contextmanager
+def collated(name: str | None) -> Iterator[None]:
+    """Texts are sorted by this collation of Spark's in the block; None sorts them by their bytes."""
+    token = _collation.set(name)
+    try:
+        yield
+    finally:
+        _collation.reset(token)
+
+
 def sorted_by(df: DataFrame, *keys: str) -> DataFrame:
     """Total order with the database's NULL placement: last ascending, first descending.
 
     ``-name`` sorts descending.  Pass enough keys to tell rows apart, so that a value shared
-    by very many rows can still be split over several range partitions.
+    by very many rows can still be split over several range partitions.  Texts go by the collation that
+    ``collated`` sets, those it holds for equal by their bytes, after all keys.
     """
-    order = [F.desc_nulls_first(k[1:]) if k.startswith("-") else F.asc_nulls_last(k) for k in keys]
+    collation = _collation.get()
+    names = [k.removeprefix("-") for k in keys]
+    texts = {name for name in names if collation and isinstance(df.schema[name].dataType, T.StringType)}
+
+    def key(name: str) -> Column:
+        return F.collate(F.col(name), collation) if name in texts else F.col(name)
+
+    order = [F.desc_nulls_first(key(n)) if k.startswith("-") else F.asc_nulls_last(key(n)) for k, n in zip(keys, names, strict=True)]
+    order += [F.desc_nulls_first(n) if k.startswith("-") else F.asc_nulls_last(n) for k, n in zip(keys, names, strict=True) if n in texts]
     return df.orderBy(*order)

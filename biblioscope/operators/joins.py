@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,3 +24,13 @@ def only(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     document, and would shuffle the documents then.
     """
     return spread_join(df, keys.select(key).distinct(), key)
+
+
+def bounds(df: DataFrame, low: Column, high: Column) -> tuple[Column, Column]:
+    """The least ``low`` and the greatest ``high`` as scalar subqueries that a scan takes as bounds; NULL without rows.
+
+    The second is a top row and not an aggregate: Spark would merge two aggregates of one input into a struct, and
+    pushes no field of that down.
+    """
+    greatest = df.select(high.alias("high")).orderBy(F.desc_nulls_last("high")).limit(1)
+    return df.agg(F.min(low)).scalar(), greatest.scalar()

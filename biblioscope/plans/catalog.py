@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from biblioscope.operators.contract import conform
+from biblioscope.operators.contract import collated, conform
 from biblioscope.plans import circulation, courses, derived, inventory, notes
 from biblioscope.sources.staging import keeping
 from biblioscope.sources.tables import Tables
@@ -192,13 +192,14 @@ _ALL = [
 REPORTS = {report.name: report for report in _ALL}
 
 
-def run(tables: Tables, name: str, /, **arguments: object) -> DataFrame:
+def run(tables: Tables, name: str, /, *, collation: str | None = None, **arguments: object) -> DataFrame:
     """Run a report by name and return its rows in the declared types.
 
     Parameters are those of the report's form; further keywords of the report's function
     (site constants such as a note type or a catalogue address) are accepted as well.  A text
     parameter that is not required is NULL when left out, dates fall back to their defaults; a date that is
-    given as None is NULL and matches nothing.  Nothing runs until the result is read; ``release`` lets go of
+    given as None is NULL and matches nothing.  With ``collation``, one of Spark's such as ``UNICODE`` or ``en``, sorted
+    reports have their texts in that order instead of that of their bytes.  Nothing runs until the result is read; ``release`` lets go of
     what was kept for it.
     """
     report = REPORTS[name]
@@ -211,7 +212,7 @@ def run(tables: Tables, name: str, /, **arguments: object) -> DataFrame:
             given.setdefault(parameter.name, None)
         elif isinstance(value, str):
             given[parameter.name] = dt.date.fromisoformat(value)
-    with keeping() as frames:
+    with keeping() as frames, collated(collation):
         result = conform(report.function(tables, **given), report.schema)
     result._kept = frames
     return result

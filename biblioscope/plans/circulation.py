@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from biblioscope.functions.dates import FIRST_DAY, LAST_DAY, in_midnight_range
 from biblioscope.operators.history import current_rows
-from biblioscope.operators.joins import only
+from biblioscope.operators.joins import bounds, only
 from biblioscope.sources.staging import kept
 from biblioscope.sources.tables import Tables
 
@@ -19,6 +19,16 @@ CHECKED_OUT = "Checked out"
 AVAILABLE = "Available"
 
 
+def _of_items(check_ins: DataFrame, items: DataFrame) -> DataFrame:
+    """The check-ins of ``items`` (item_id).
+
+    The least and the greatest id bound the scan besides, by scalar subqueries on the bare column, so that check-ins
+    that lie by item are read for these items' row groups alone.
+    """
+    least, greatest = bounds(items, F.col("item_id"), F.col("item_id"))
+    return check_ins.where(F.col("item_id").between(least, greatest)).join(items, "item_id")
+
+
 def count_circulation_history(
     tables: Tables, barcode_to_check: str, start_date: dt.date = FIRST_DAY, end_date: dt.date = LAST_DAY
 ) -> DataFrame:
@@ -28,7 +38,7 @@ def count_circulation_history(
         (F.col("item_status_prior_to_check_in") == CHECKED_OUT)
         & in_midnight_range(F.col("occurred_date_time"), start_date, end_date)
     )
-    return returns.join(items, "item_id").select(
+    return _of_items(returns, items).select(
         F.col("id").alias("check_in_id"), F.to_date("occurred_date_time").alias("check_in_date")
     )
 
@@ -44,7 +54,7 @@ def count_internal_use(tables: Tables, barcode_to_check: str) -> DataFrame:
         .select(F.col("id").alias("item_id"))
     )
     uses = tables["check_in__t__"].where(F.col("item_status_prior_to_check_in") == AVAILABLE)
-    return uses.join(items, "item_id").agg(F.count("id").cast("int").alias("internal_use_count"))
+    return _of_items(uses, items).agg(F.count("id").cast("int").alias("internal_use_count"))
 
 
 def zero_use_items(

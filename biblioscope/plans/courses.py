@@ -6,13 +6,14 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from biblioscope.functions.dates import FIRST_DAY, LAST_DAY, earlier_of, in_day_range, later_of, local_day
 from biblioscope.functions.documents import json_text, text_fields, uuid_norm
 from biblioscope.functions.text import call_number, ci_match, normalised
 from biblioscope.operators.contract import sorted_by
 from biblioscope.operators.history import latest_per_key, version_span, with_version_span
-from biblioscope.operators.joins import only, spread_join
+from biblioscope.operators.joins import bounds, only, spread_join
 from biblioscope.operators.spans import count_in_spans
 from biblioscope.plans.derived import instance_ext, item_ext
 from biblioscope.sources.staging import kept
@@ -63,12 +64,12 @@ def circ_stats_course_reserves(
     items = item_ext(
         tables, ["item_id", "barcode", "holdings_record_id"], only=reserved.withColumnRenamed("item_id", "id")
     )
-    # What the items hang on is cut to what they need before it is shuffled.
-    counted = kept(counts.join(items, "item_id", "left"))
-    placed = kept(spread_join(counted, only(holdings, counted, "holdings_record_id"), "holdings_record_id", "left"))
-    instances = only(instance_ext(tables, ["instance_id", "title"]), placed, "instance_id")
+    # Holdings and instances are cut to those of the reserved items before they are shuffled.
+    holdings = only(holdings, items, "holdings_record_id")
+    instances = only(instance_ext(tables, ["instance_id", "title"]), holdings, "instance_id")
+    titles = spread_join(holdings, instances, "instance_id", "left").select("holdings_record_id", "title")
     rows = (
-        spread_join(placed, instances, "instance_id", "left")
+        spread_join(counts.join(items, "item_id", "left"), titles, "holdings_record_id", "left")
         .select(F.col("barcode").alias("item_barcode"), F.col("title").alias("instance_title"), "circ_count")
         .distinct()
     )
@@ -192,20 +193,22 @@ def _checkouts(loans: DataFrame) -> DataFrame:
     )
 
 
-def _between_days(loans: DataFrame, first: Column, last: Column) -> DataFrame:
-    """Loans that may fall on local days in [first, last]: two days of slack cover the zone shift, which keeps the bound on the bare column and so pushed down."""
-    kind = loans.schema["creation_date"].dataType
-    return loans.where(F.col("creation_date").between(F.date_sub(first, 2).cast(kind), F.date_add(last, 2).cast(kind)))
+def _day_bounds(first: Column, last: Column, kind: T.DataType) -> tuple[Column, Column]:
+    """Bounds on an instant for local days in [first, last]: two days of slack cover the zone shift, which keeps them on the bare column and so pushed down."""
+    return F.date_sub(first, 2).cast(kind), F.date_add(last, 2).cast(kind)
 
 
 def _checkouts_within(tables: Tables, reserves: DataFrame) -> DataFrame:
     """(item_id, day, times) of the checkouts that may fall into a reserve's span, from the daily counts where these are provided."""
     spans = reserves.where("crr_start <= crr_end")
-    first, last = spans.agg(F.min("crr_start")).scalar(), spans.agg(F.max("crr_end")).scalar()
     daily = tables.get("checkouts_daily")
     if daily is not None:
-        return daily.where(F.col("day").between(first, last)).select("item_id", "day", F.col("checkouts").alias("times"))
-    return _checkouts(_between_days(tables["loan__"], first, last)).withColumn("times", F.lit(1))
+        within = F.col("day").between(*bounds(spans, F.col("crr_start"), F.col("crr_end")))
+        return daily.where(within).select("item_id", "day", F.col("checkouts").alias("times"))
+    loans = tables["loan__"]
+    ends = _day_bounds(F.col("crr_start"), F.col("crr_end"), loans.schema["creation_date"].dataType)
+    within = F.col("creation_date").between(*bounds(spans, *ends))
+    return _checkouts(loans.where(within)).withColumn("times", F.lit(1))
 
 
 def checkouts_daily(tables: Tables, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
@@ -216,7 +219,7 @@ def checkouts_daily(tables: Tables, first: dt.date | None = None, last: dt.date
     """
     loans = tables["loan__"]
     if first is not None and last is not None:
-        loans = _between_days(loans, F.lit(first), F.lit(last))
+        loans = loans.where(F.col("creation_date").between(*_day_bounds(F.lit(first), F.lit(last), loans.schema["creation_date"].dataType)))
     counted = _checkouts(loans).where(F.col("item_id").isNotNull() & F.col("day").isNotNull())
     if first is not None and last is not None:
         counted = counted.where(F.col("day").between(F.lit(first), F.lit(last)))

@@ -1,4 +1,4 @@
-"""Histories stored by key: versions of a record lie together, so that steps by record need no shuffle.
+"""Relations stored by key: versions of a record lie together for steps by record, and rows of a key for lookups.
 
 A history is written as a catalog table in buckets of its key, sorted by it within each.  Spark knows this from
 the catalog: the span or the latest version of every record, and joins of such results, run bucket by bucket.
@@ -11,6 +11,9 @@ from __future__ import annotations
 
 from biblioscope.sources.tables import Tables
 
+#: Relations that reports look up by a key.
+LOOKUPS = {"item__t": "barcode", "item__t__": "barcode", "check_in__t": "item_id", "check_in__t__": "item_id"}
+
 #: Histories by their key.
 KEYS = {
     "coursereserves_courselistings__": "id",
@@ -37,3 +40,24 @@ def store_histories(tables: Tables, schema: str, buckets: int, names: list[str]
         tables[name].repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).saveAsTable(f"{schema}.{name}")
     stored = Tables.catalog(spark, {name: f"{schema}.{name}" for name in there})
     return tables.having({name: stored[name] for name in there}, {name: stored.clustered(name) for name in there})
+
+
+def store_lookups(tables: Tables, root: str, partitions: int | None = None, **options: str) -> Tables:
+    """Write the relations that reports look up by barcode or item as Parquet below ``root``, sorted by that key and with
+    Bloom filters of it; the returned tables read them there.
+
+    A lookup then skips the row groups whose bounds, or whose Bloom filter, rule the key out.  A relation that is
+    there already is an error.  ``options`` go to the Parquet writer.
+    """
+    frames = {}
+    for name, key in LOOKUPS.items():
+        frame = tables.get(name)
+        if frame is None:
+            continue
+        # Behind the key all columns, so that the rows of one hot key may lie in several files.
+        order = [key, *[c for c in frame.columns if c != key]]
+        split = [partitions, *order] if partitions else order
+        blooms = {f"parquet.bloom.filter.enabled#{key}": "true", **options}
+        frame.repartitionByRange(*split).sortWithinPartitions(*order).write.options(**blooms).parquet(f"{root}/{name}")
+        frames[name] = tables.spark.read.parquet(f"{root}/{name}")
+    return tables.having(frames)

@@ -692,6 +692,16 @@ def _(t: Tables) -> DataFrame:
     return t["instance"].select("id", documents.database_text(c("jsonb"), "identifiers", depth=2).alias("identifiers"))
 
 
+@_check(
+    "op_sort_collated",
+    """select item_id, note from {item_notes}
+    order by note collate en nulls last, item_id collate en nulls last, note nulls last, item_id nulls last""",
+)
+def _(t: Tables) -> DataFrame:
+    with contract.collated("UNICODE"):
+        return contract.sorted_by(t["item_notes"], "note", "item_id")
+
+
 # --- layouts and summaries that reports read instead -------------------------------------------
 
 

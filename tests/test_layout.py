@@ -7,12 +7,13 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from biblioscope import Tables, run, store_daily, store_histories, stored
+from biblioscope import Tables, run, store_daily, store_histories, store_lookups, stored
 from biblioscope.operators import history
 from biblioscope.plans import courses, upkeep
 from biblioscope.sources.snapshots import Snapshots
 from fixtures.relations import RELATIONS
 from fixtures.warehouse import land, warehouse
+from tests.test_snapshots import read_by
 
 SF_DIR = "/root/testdata/sf0.001"
 TERM = {"course_term_circ_stats": {"term_name": "asia"}, "perm_rsrv_curr_circ_stats": {"term_name": "africa"}}
@@ -147,3 +148,34 @@ def test_loans_of_the_days_alone_are_read(tables):
 
 def test_all_relations_land(tables):
     assert all(tables.get(name) is not None for name in RELATIONS if name != "reserve_versions")
+
+
+@pytest.fixture(scope="module")
+def lookups(spark, tmp_path_factory):
+    """Twenty times the items and check-ins, in small row groups."""
+    given, copies = warehouse(spark, SF_DIR), spark.range(20).select(F.col("id").cast("string").alias("copy"))
+    frames = {}
+    for name, keys in {"item__t": ["id", "barcode"], "item__t__": ["id", "barcode"], "check_in__t": ["item_id"], "check_in__t__": ["item_id"]}.items():
+        frame = given[name].crossJoin(copies)
+        frames[name] = frame.withColumns({k: F.concat(k, F.lit("-"), "copy") for k in keys}).drop("copy")
+    plain = Tables.of(spark, frames)
+    return plain, store_lookups(plain, str(tmp_path_factory.mktemp("lookups")), 8, **{"parquet.block.size": "65536", "parquet.page.row.count.limit": "1000"})
+
+
+@pytest.mark.parametrize("name", ["count_circulation_history", "count_internal_use"])
+def test_lookups_skip_row_groups(name, lookups):
+    plain, by_key = lookups
+    arguments = {"barcode_to_check": "B12-7"}
+    expected = rows(run(plain, name, **arguments))
+    frame = run(by_key, name, **arguments)
+    scans = read_by(frame)
+    assert rows(frame) == expected and expected != ["Row(internal_use_count=0)"]
+    check_ins = [n for columns, n in scans if "item_status_prior_to_check_in" in columns]
+    items = [n for columns, n in scans if "barcode" in columns]
+    assert max(check_ins) * 4 < plain["check_in__t"].count() and max(items) * 4 < plain["item__t__"].count()
+
+
+def test_a_barcode_nobody_has(lookups):
+    _, by_key = lookups
+    assert run(by_key, "count_circulation_history", barcode_to_check="none").count() == 0
+    assert rows(run(by_key, "count_internal_use", barcode_to_check="none")) == ["Row(internal_use_count=0)"]

@@ -357,3 +357,15 @@ def test_patterns_are_the_databases(spark, pattern, text, found):
 @pytest.mark.parametrize(("text", "value"), [("on", True), (" OFF ", False), ("of", False), ("tru", True), ("0", False), ("Yes", True), (None, None)])
 def test_booleans_are_the_databases(spark, text, value):
     assert one(spark, documents.text_bool(F.lit(text).cast("string"))) == (value,)
+
+
+def test_texts_in_the_order_of_a_collation(spark):
+    words = ["zebra", "Äpfel", "apfel", "Apfel", "éclair", "Eclair", "école", "Zoo", "a b", "ab", "a-c", "10", "9", None, "b"]
+    frame = spark.createDataFrame([(w, i) for i, w in enumerate(words)], "w string, i int").repartition(3)
+    plain = [r["w"] for r in contract.sorted_by(frame, "w", "i").collect()]
+    with contract.collated("UNICODE"):
+        up, down = contract.sorted_by(frame, "w", "i"), contract.sorted_by(frame, "-w", "i")
+    expected = ["10", "9", "a b", "a-c", "ab", "apfel", "Apfel", "Äpfel", "b", "Eclair", "éclair", "école", "zebra", "Zoo", None]
+    assert [r["w"] for r in up.collect()] == expected
+    assert [r["w"] for r in down.collect()] == expected[::-1]
+    assert plain == sorted(filter(None, words)) + [None]
