@@ -11,13 +11,14 @@ of coordinates in which they agree is concentrated at least as well as for indep
 1. Documents with equal sets are one class; its smallest id stands for it.
 2. Banding: classes that agree in all ``ROWS`` coordinates of a band share a bucket.  Two sets as similar as a
    link asks for share none with a chance below 3 in 10 million (``missed``); no bucket is capped.
-3. In each bucket all classes are compared with one of them, then, of the groups that the links made, all
-   others with the best linked member of the largest.  Large groups of near copies are one group after that.
+3. In each bucket all classes are compared with one of them, the first in one of eight orders by band.
+   What these links connect is a group; large families of near copies are few groups after that.
 4. Classes of different groups in one bucket that are left may be similar to each other.  Of their shingles
    those that one group has alone can be in no link between groups and come first, then those that few
    classes have.  For a link, two sets must have a common shingle among the first ones in that order, so far
-   to the front that the rest can still make up the overlap.  Only pairs that do are compared, hence a
-   passage that many documents share makes no pairs.
+   to the front that the rest can still make up the overlap; and sketches of which shingles there is an odd number
+   may not differ by more than a link allows.  Only pairs that pass both bounds, which are exact, are compared,
+   hence a passage that many documents share makes no pairs.
 5. A pair is compared by its sketches first, which lets go of it where a link would be a matter of less than
    one in a billion, and then by the whole sets.  Verified links give the components.
 
@@ -52,6 +53,8 @@ COORDINATES, ROWS = 192, 6
 BANDS = COORDINATES // ROWS
 #: Orders in which the first class of a bucket is looked for: a bucket's band chooses one.
 LEADERS = 8
+#: Longs of the sketch that bounds a pair's difference.
+ODD = 8
 #: Chance that a pair which links is let go of by its sketches, at most.
 LOST = 1e-9
 
@@ -123,6 +126,12 @@ def sketched(found: list[np.ndarray]) -> np.ndarray:
     return values
 
 
+def odd(tokens: np.ndarray) -> np.ndarray:
+    """Which of 64 * ``ODD`` bins hold an odd number of a set's shingles, as bits: two such sketches differ in no more bins than the sets in shingles."""
+    bins = (mixed(tokens ^ _ROUNDS[1]) >> np.uint64(64 - (64 * ODD).bit_length() + 1)).astype(np.int64)
+    return np.packbits((np.bincount(bins, minlength=64 * ODD) & 1).astype(np.uint8)).view(np.int64)
+
+
 def bands(values: np.ndarray) -> np.ndarray:
     """The keys of each sketch's buckets."""
     out = np.zeros((len(values), BANDS), dtype=np.uint64)
@@ -156,7 +165,7 @@ def features(documents: DataFrame, kind: str) -> DataFrame:
 
 
 def shingled(documents: DataFrame, nodes: DataFrame, kind: str, bits: int = BITS) -> DataFrame:
-    """(node, f1, n, tokens) of the classes ``nodes`` (node, f1, f2).
+    """(node, f1, n, tokens, odd) of the classes ``nodes`` (node, f1, f2).
 
     A bitmap of the nodes' hashes, of a fixed size, lets go of most other documents where they lie.
     """
@@ -177,11 +186,12 @@ def shingled(documents: DataFrame, nodes: DataFrame, kind: str, bits: int = BITS
                         rows.append(i)
                         found.append(s.view(np.int64))
                         prints.append(own)
-                columns = [batch.column(0).take(pa.array(rows, _LONG)), *[pa.array([p[k] for p in prints], _LONG) for k in (0, 1)], pa.array(found, pa.list_(_LONG))]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "f1", "f2", "tokens"])
+                odds = pa.array([odd(s.view(np.uint64)) for s in found], pa.list_(_LONG))
+                columns = [batch.column(0).take(pa.array(rows, _LONG)), *[pa.array([p[k] for p in prints], _LONG) for k in (0, 1)], pa.array(found, pa.list_(_LONG)), odds]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "f1", "f2", "tokens", "odd"])
 
-    made = documents.where("doc_id is not null").withColumn("h", F.xxhash64("doc_id")).mapInArrow(run, f"node {kind}, f1 long, f2 long, tokens array<long>")
-    return made.join(nodes, ["node", "f1", "f2"]).select("node", "f1", F.size("tokens").alias("n"), "tokens")
+    made = documents.where("doc_id is not null").withColumn("h", F.xxhash64("doc_id")).mapInArrow(run, f"node {kind}, f1 long, f2 long, tokens array<long>, odd array<long>")
+    return made.join(nodes, ["node", "f1", "f2"]).select("node", "f1", F.size("tokens").alias("n"), "tokens", "odd")
 
 
 def _spread(rows: DataFrame, *keys: str) -> DataFrame:
@@ -189,10 +199,6 @@ def _spread(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.withColumn("spread", F.xxhash64(*keys))
 
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-
-
 def _both(pairs: DataFrame, of_node: DataFrame, value: str) -> DataFrame:
     """``pairs`` (a, b) with the value of both ends, brought by one join after the other."""
     for end in "ab":
@@ -201,10 +207,6 @@ def _both(pairs: DataFrame, of_node: DataFrame, value: str) -> DataFrame:
     return pairs
 
 
-def _ordered(one: str, two: str) -> list[F.Column]:
-    return [F.least(one, two).alias("a"), F.greatest(one, two).alias("b")]
-
-
 class _Near:
     """One search: the classes' sketches and sets, and the links found so far."""
 
@@ -216,7 +218,7 @@ class _Near:
         # Ids of rows with different sets: their classes are linked.
         split = there.groupBy("doc_id").agg(F.min("f1").alias("lo"), F.max("f1").alias("hi")).where("lo != hi").select("doc_id")
         several = there.select("doc_id", "n", "f1", "f2").join(split, "doc_id").join(self.classes.select("n", "f1", "f2", "node"), ["n", "f1", "f2"])
-        self.links = work.stage(several.select(*_ordered("doc_id", "node")).where("a != b").distinct())
+        self.links = work.stage(several.select(F.col("doc_id").alias("a"), F.col("node").alias("b")).where("a != b").distinct())
 
         banded = self.classes.select("node", "n", F.posexplode("bands").alias("band", "key"))
         repeated = banded.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
@@ -239,37 +241,28 @@ class _Near:
                 one, two = (np.frombuffer(b"".join(batch.column(k).to_pylist()), dtype=np.uint8).reshape(-1, COORDINATES) for k in (2, 3))
                 yield batch.select(["a", "b"]).filter(pa.array((one == two).sum(axis=1) >= least))
 
-        pairs = self.work.stage(_both(pairs.distinct(), self.sketches, "sketch").mapInArrow(run, f"a {self.kind}, b {self.kind}").distinct())
-        sets_of = self.tokens.join(_ends(pairs), "node", "left_semi")
+        pairs = self.work.stage(_both(pairs.distinct(), self.sketches, "sketch").mapInArrow(run, f"a {self.kind}, b {self.kind}"))
         overlap, n, m = F.size(F.array_intersect("tokens_a", "tokens_b")), F.size("tokens_a"), F.size("tokens_b")
-        links = _both(pairs, sets_of, "tokens").where(100 * overlap >= self.percent * (n + m - overlap))
-        self.links = self.work.stage(self.links.union(links.select("a", "b").distinct()))
+        links = _both(pairs, self.tokens, "tokens").where(100 * overlap >= self.percent * (n + m - overlap))
+        self.links = self.work.stage(self.links.union(links.select("a", "b")))
+
+    def components(self) -> DataFrame:
+        """(node, grp): the component of each node that has a link."""
+        return components(self.work, self.links).withColumnRenamed("component", "grp")
 
-    def grouped(self) -> DataFrame:
-        """The rows of buckets in which more than one group is left, each with its group."""
-        found = components(self.work, self.links)
-        rows = _spread(self.live, "node").join(_spread(found, "node"), ["node", "spread"], "left").drop("spread")
-        rows = rows.withColumn("grp", F.coalesce("component", "node")).drop("component")
-        mixed_ = rows.groupBy("key").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo < hi").select("key")
-        return self.work.stage(_spread(rows, "key").join(_spread(mixed_, "key"), ["key", "spread"]).drop("spread"))
+    def between(self, groups: DataFrame) -> DataFrame:
+        """The rows of buckets in which more than one group is left, each with its group.  Groups save work and decide nothing."""
+        rows = _spread(self.live, "node").join(_spread(groups, "node"), ["node", "spread"], "left").drop("spread")
+        rows = rows.withColumn("grp", F.coalesce("grp", "node"))
+        several = rows.groupBy("key").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo < hi").select("key")
+        return self.work.stage(_spread(rows, "key").join(_spread(several, "key"), ["key", "spread"]).drop("spread"))
 
     def against_first(self) -> None:
         """Compares the classes of each bucket with the first of them."""
         order = F.xxhash64("node", F.col("band") % LEADERS)
         first = self.live.groupBy("key").agg(F.min(F.struct(order.alias("h"), "node", "n")).alias("first"))
         rows = _spread(self.live, "key").join(_spread(first, "key"), ["key", "spread"]).where(F.col("node") != F.col("first.node"))
-        self.compare(rows.where(self.close(F.col("n"), F.col("first.n"))).select(*_ordered("node", "first.node")))
-
-    def against_largest(self, rows: DataFrame) -> None:
-        """Compares the classes of each bucket with the best linked member of the group that has most of them."""
-        linked = self.links.select(F.col("a").alias("node")).union(self.links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("links"))
-        members = rows.select("grp", "node", "n").distinct().join(linked, "node", "left")
-        hubs = members.groupBy("grp").agg(F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), "node", "n")).alias("hub"))
-        sizes = rows.groupBy("key", "grp").agg(F.count("*").alias("size"))
-        largest = sizes.groupBy("key").agg(F.max(F.struct("size", F.xxhash64("grp").alias("h"), "grp")).alias("of")).select("key", F.col("of.grp").alias("of"))
-        largest = largest.join(hubs.withColumnRenamed("grp", "of"), "of")
-        met = _spread(rows, "key").join(_spread(largest, "key"), ["key", "spread"]).where(F.col("grp") != F.col("of"))
-        self.compare(met.where(self.close(F.col("n"), F.col("hub.n"))).select(*_ordered("node", "hub.node")))
+        self.compare(rows.where(self.close(F.col("n"), F.col("first.n"))).select(F.col("node").alias("a"), F.col("first.node").alias("b")))
 
     def by_first_shingles(self, rows: DataFrame) -> None:
         """Compares classes of different groups whose first shingles, rare ones first, leave room for a link."""
@@ -281,17 +274,23 @@ class _Near:
         counted = self.work.stage(counted.where("lo < hi").select("token", "often", "smallest"))
         shared = _spread(tokens, "token").join(_spread(counted, "token"), ["token", "spread"])
         shared = shared.groupBy("node", "f1", "n", "grp").agg(F.sort_array(F.collect_list(F.struct("often", "token", "smallest"))).alias("shared"))
-        places = shared.select("node", "n", "grp", (F.col("n") - F.size("shared")).alias("alone"), F.posexplode("shared").alias("k", "x"))
-        places = places.select("node", "n", "grp", (F.col("alone") + F.col("k")).alias("place"), "x.token", "x.smallest")
+        places = shared.select("node", "f1", "n", "grp", (F.col("n") - F.size("shared")).alias("alone"), "shared", F.posexplode("shared").alias("k", "x"))
+        places = places.withColumn("before", F.when(F.col("k") > 0, F.expr("shared[k - 1].token")))
+        places = places.select("node", "f1", "n", "grp", (F.col("alone") + F.col("k")).alias("place"), "x.token", "x.smallest", "before")
         # What is left from a place on is the largest overlap of a pair whose first common shingle is there.
         room = F.col("n") - F.col("place")
         enough = (100 * room >= t * F.col("n")) & ((100 + t) * room >= t * (F.col("n") + F.col("smallest")))
-        places = self.work.stage(places.where(enough).drop("smallest"))
-        one, two = (places.select("token", F.xxhash64("token").alias("spread"), *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "grp", "place")]) for x in "ab")
+        odds = _spread(each.select("node", "f1", "odd"), "node")
+        places = self.work.stage(_spread(places.where(enough).drop("smallest"), "node").join(odds, ["node", "f1", "spread"]).drop("spread", "f1"))
+        one, two = (places.select("token", F.xxhash64("token").alias("spread"), *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "grp", "place", "before", "odd")]) for x in "ab")
         met = one.join(two, ["token", "spread"]).where("grp_a < grp_b").where(self.close(F.col("n_a"), F.col("n_b")))
-        room = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
-        met = met.where((100 + t) * room >= t * (F.col("n_a") + F.col("n_b")))
-        self.compare(met.select(*_ordered("node_a", "node_b")))
+        n, room = F.col("n_a") + F.col("n_b"), F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+        met = met.where((100 + t) * room >= t * n)
+        # A pair that has the shingle in front in common as well meets there.
+        met = met.where(F.col("before_a").isNull() | F.col("before_b").isNull() | (F.col("before_a") != F.col("before_b")))
+        differ = sum((F.bit_count(F.col("odd_a")[k].bitwiseXOR(F.col("odd_b")[k])) for k in range(1, ODD)), F.bit_count(F.col("odd_a")[0].bitwiseXOR(F.col("odd_b")[0])))
+        met = met.where((100 + t) * differ <= (100 - t) * n)
+        self.compare(met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
 
 
 def near_copies(work: Work, documents: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -299,8 +298,7 @@ def near_copies(work: Work, documents: DataFrame, key: str = "doc_id", text: str
     documents = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     near = _Near(work, documents, dict(documents.dtypes)["doc_id"], percent)
     near.against_first()
-    near.against_largest(near.grouped())
-    near.by_first_shingles(near.grouped())
+    near.by_first_shingles(near.between(near.components()))
     final = components(work, near.links)
     of_class = near.classes.join(final, "node", "left").select("n", "f1", "f2", F.coalesce("component", "node").alias("component"))
     # A hot class may have a large share of the rows: its hash lets both sides be shuffled for this join alone.
