@@ -66,13 +66,12 @@ class Work:
 def components(work: Work, links: DataFrame) -> DataFrame:
     """(node, component) of every node of ``links`` (columns a and b); the component is its smallest node.
 
-    Alternates two steps until nothing changes: every node ties its larger neighbours to the smallest it
+    Alternates two steps until every component is a star: every node ties its larger neighbours to the smallest it
     knows of, then its smaller ones.  Rounds grow with the logarithm of a component's size.  Minima are
     taken before the shuffle, and the joins are plain ones, whose hot nodes adaptive execution splits.
     """
     edges = work.stage(links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    state = None
-    while True:
+    while not _stars(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         smallest = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
         large = _spread(both, smallest).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
@@ -80,16 +79,18 @@ def components(work: Work, links: DataFrame) -> DataFrame:
         small = _spread(large, smallest)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).where("u != v").distinct()
         new = work.stage(small)
-        now = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         work.drop(edges)
         edges = new
-        if now == state:
-            break
-        state = now
     # Now every node hangs from its component's smallest.
     return work.stage(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct())
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every larger end u of ``edges`` has one edge, to a v that is no larger end itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1").isEmpty()
+
+
 def _spread(edges: DataFrame, smallest: DataFrame) -> DataFrame:
     """Joins each edge with what is known of its node u; the hash gives both sides a shuffle of their own, which can be split."""
     edges, smallest = edges.withColumn("s1", F.xxhash64("u")), smallest.withColumn("s2", F.xxhash64("w"))
