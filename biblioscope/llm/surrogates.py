@@ -126,10 +126,10 @@ def find(text: str) -> list[Entity]:
     found += [(*m.span(2), "name" + _TITLES[m[1]]) for m in _NAME.finditer(text)]
     if len(found) < 2:
         return found
-    out, taken = [], []
+    out, taken = [], bytearray(len(text))
     for a, b, kind in found:
-        if all(b <= x or a >= y for x, y in taken[-64:]) and (len(taken) <= 64 or all(b <= x or a >= y for x, y in taken)):
-            taken.append((a, b))
+        if taken.find(1, a, b) < 0:
+            taken[a:b] = b"\x01" * (b - a)
             out.append((a, b, kind))
     return sorted(out)
 

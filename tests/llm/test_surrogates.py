@@ -138,3 +138,17 @@ def test_a_long_secret_in_a_table(spark, work):
     df = spark.createDataFrame([(1, f"token={LONG} x"), (2, f"token={LONG[:-1]}q x")], "doc_id long, text string")
     rows = surrogates.replaced(df, surrogates.fit(work, df, b"k")).collect()
     assert [r["n_entities"] for r in rows] == [1, 1] and not any(LONG[i : i + 16] in r["text"] for r in rows for i in range(984))
+
+
+def test_very_many_entities_in_one_text():
+    """The work is linear in the text: 100,000 addresses take a second or two."""
+    values = [f"user{i}@host{i % 97}.example.org" for i in range(100_000)]
+    text = " and ".join(values)
+    found = surrogates.find(text)
+    assert [text[a:b] for a, b, _ in found] == values and {kind for *_, kind in found} == {"email"}
+
+
+def test_of_entities_that_overlap_the_first_kind_counts():
+    text = "password: ann@example.org and token=4111111111111111 call +49 151 2345 6789"
+    found = [(text[a:b], kind) for a, b, kind in surrogates.find(text)]
+    assert found == [("ann@example.org", "email"), ("4111111111111111", "secret"), ("+49 151 2345 6789", "phone")]
