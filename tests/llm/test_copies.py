@@ -82,6 +82,22 @@ def test_jaccard_of_odd_rows(work, odd, none):
     assert jaccard.similar(work, none).collect() == []
 
 
+def test_rows_that_share_an_id(spark, work):
+    a, b, c = "one two three four five six seven", "quite another text that has six words more", "a third text of nine words or so it is"
+    rows = [(3, a), (5, a), (5, b), (7, b), (9, c), (9, c), (9, ""), (11, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [(r["doc_id"], r["component_id"]) for r in jaccard.similar(work, frame).collect()]
+    assert sorted(found) == [(3, 3), (5, 3), (5, 3), (7, 3), (9, 9), (9, 9), (9, 9), (11, 11)]
+    found = [(r["doc_id"], r["component_id"]) for r in jaccard.similar(work, frame, ids=False).collect()]
+    assert sorted(found) == [(3, 3), (5, 3), (5, 5), (7, 5), (9, 9), (9, 9), (9, 9), (11, 11)]
+
+
+def test_ids_of_text(spark, work):
+    a, b = "one two three four five six seven", "quite another text that has six words more"
+    found = jaccard.similar(work, spark.createDataFrame([("07", a), ("7", a), ("x3", b), ("x3", b)], "doc_id string, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in found) == [("07", "07"), ("7", "07"), ("x3", "x3"), ("x3", "x3")]
+
+
 def test_components_of_a_long_chain_and_a_star(spark, work):
     links = [(i, i + 1) for i in range(100, 140)] + [(5, i) for i in range(6, 60)] + [(200, 200), (7, 5)]
     found = {r["node"]: r["component"] for r in components(work, spark.createDataFrame(links, "a long, b long")).collect()}

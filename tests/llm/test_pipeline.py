@@ -45,7 +45,15 @@ def test_stages_take_odd_and_no_rows(spark, odd, none):
         assert docs.columns[0] == "doc_id" and docs.count() <= 9
 
 
-def test_one_of_rows_that_share_an_id_stays(spark, odd):
+def test_texts_that_share_an_id_stay_apart(spark):
+    a, b, c = "one two three four five six seven", "quite another text that has six words more", "a third text of nine words or so it is"
+    rows = [(3, a), (5, a), (5, b), (7, b), (9, c), (9, c), (9, ""), (11, None), (None, a), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "'en' as lang", "'s' as source", "1L as n_chars")
+    left = [(r["doc_id"], r["text"]) for r in pipeline.near_copies(spark, docs, SF_DIR).collect()]
+    assert sorted(left, key=repr) == sorted([(3, a), (5, b), (9, c), (9, ""), (11, None), (None, a), (None, a)], key=repr)
+
+
+def test_one_of_rows_that_repeat_stays(spark, odd):
     docs = odd.selectExpr("doc_id", "text", "lang", "source", "n_words as n_chars")
     left = [r["doc_id"] for r in pipeline.near_copies(spark, docs, SF_DIR).collect()]
     assert sorted(left, key=repr) == [1, 2, 3, 5, 6, 7, None]
