@@ -24,14 +24,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of documents that links of Jaccard similarity connect, the one with the smallest id stays.
+    """Of every group of texts that links of Jaccard similarity connect, one row with the smallest id stays.
 
-    Of rows that share an id, the one with the smallest text stays; rows without an id link with nothing and stay.
+    Rows that share an id but not their text are apart: each belongs to the group of its own text.  Of rows of one
+    id and group one stays, the one with the smallest hash of its text; rows without an id link with nothing and stay.
     """
-    found = jaccard.similar(Work(spark), docs.select("doc_id", "text"))
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    kept = docs.join(first, "doc_id", "left_semi").withColumn("_one", one).where("_one = 1").drop("_one")
+    # Ids in their order, and then texts by their hash; null for a null id.
+    keyed = docs.withColumn("_key", F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text"))))
+    found = jaccard.similar(Work(spark), keyed.select("_key", "text"), key="_key", ids=False)
+    first = found.where("_key = component_id").select("_key").distinct()
+    one = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
+    kept = keyed.join(first, "_key", "left_semi").withColumn("_one", one).where("_one = 1").drop("_one", "_key")
     return kept.unionByName(docs.where("doc_id is null"))
 
 
