@@ -73,6 +73,21 @@ def test_spans_and_latest_versions_need_no_shuffle(bucketed, shuffled):
         assert "Bucketed: true" in text and "Exchange" not in text
 
 
+def test_buckets_grow_in_number_and_not_in_rows(spark, tables, tmp_path):
+    names = ["coursereserves_courses__", "coursereserves_reserves__"]
+    counts = []
+    for most in (10**6, 500):
+        schema = f"h{uuid.uuid4().hex}"
+        spark.sql(f"create schema {schema} location 'file://{tmp_path / schema}'")
+        found = store_histories(tables, schema, 4, names, most)
+        assert all(rows(found[name]) == rows(tables[name]) and found.clustered(name) == ["id"] for name in names)
+        counts.append([int(spark.sql(f"describe extended {schema}.{name}").where("col_name = 'Num Buckets'").first()["data_type"]) for name in names])
+        spark.sql(f"drop schema {schema} cascade")
+    versions = tables["coursereserves_reserves__"].count()
+    assert counts[0] == [4, 4]
+    assert counts[1] == [4 * -(-versions // 2000)] * 2 and counts[1][0] > 4
+
+
 @pytest.mark.parametrize("version", ["__", ""])
 def test_reserve_spans_of_the_term_report_move_by_listing_alone(bucketed, shuffled, version):
     listings = bucketed["coursereserves_courselistings__"].select(F.col("id").alias("clid"), F.lit(dt.date(1995, 1, 1)).alias("cls_start"), F.lit(dt.date(2030, 1, 1)).alias("cls_end")).distinct()
