@@ -50,6 +50,20 @@ def test_count_in_spans_equals_all_pairs(spark, seed):
     assert {row[:3]: row[3] for row in values(found)} == expected
 
 
+@pytest.mark.parametrize("hot", [0, 20])
+def test_count_in_spans_spreads_the_spans_of_hot_keys(spark, hot):
+    pick = random.Random(4)
+    days = [DAY + dt.timedelta(i) for i in range(30)]
+    events = [(pick.choice(["hot"] * 5 + ["a", "b"]), pick.choice([None, *days])) for _ in range(300)]
+    ranges = [(pick.choice(["hot"] * 8 + ["a", "b", "none"]), pick.choice(["x", None]), *sorted(pick.choices(days, k=2))) for _ in range(150)]
+    expected = Counter((k, x) for k, x, lo, hi in ranges for e, d in events if k == e and d is not None and lo <= d <= hi)
+    found = spans.count_in_spans(
+        spark.createDataFrame(events, "k string, d date"), spark.createDataFrame(ranges, "k string, x string, lo date, hi date"),
+        on="k", by=["x"], day="d", start="lo", end="hi", count="n", hot=hot,
+    )
+    assert {row[:2]: row[2] for row in values(found)} == expected
+
+
 def test_count_in_spans_takes_both_ends_and_skips_reversed_and_open_spans(spark):
     events = spark.createDataFrame([("a", DAY)] * 3, "k string, d date")
     before, after = DAY - dt.timedelta(1), DAY + dt.timedelta(1)

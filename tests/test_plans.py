@@ -151,6 +151,15 @@ def test_events_are_reduced_before_their_shuffle(spark):
     assert re.search(r"Exchange hashpartitioning\(k#\d+, day#\d+[^\n]*\n[^\n]*partial_sum", text)
 
 
+def test_spans_are_kept_and_meet_events_without_a_join(spark):
+    events = spark.createDataFrame([("a", dt.date(2024, 1, 1))], "k string, d date")
+    ranges = spark.createDataFrame([("a", dt.date(2024, 1, 1), dt.date(2024, 1, 2))], "k string, lo date, hi date")
+    found = spans.count_in_spans(events, ranges, on="k", by=[], day="d", start="lo", end="hi", count="n")
+    operators = re.findall(r"\b\w*Join|InMemoryTableScan", re.sub(r"AdaptiveSparkPlan.*", "", plan(found)))
+    assert set(operators) == {"InMemoryTableScan"}
+    assert [tuple(r) for r in found.collect()] == [("a", 1)]
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_hot_key_is_split_after_a_join_on_the_same_key(spark, settings, how):
     """A third of the rows under one key, joined twice by that key: both joins split it."""
