@@ -13,7 +13,7 @@ from biblioscope.functions.documents import json_text, text_fields, uuid_norm
 from biblioscope.functions.text import call_number, ci_match, normalised
 from biblioscope.operators.contract import sorted_by
 from biblioscope.operators.history import latest_per_key, version_span, with_version_span
-from biblioscope.operators.joins import bounds, only, spread_join
+from biblioscope.operators.joins import bounds, likely, only, spread_join
 from biblioscope.operators.spans import count_in_spans
 from biblioscope.plans.derived import instance_ext, item_ext
 from biblioscope.sources.staging import kept
@@ -150,14 +150,13 @@ def _reserve_items(tables: Tables, version: str, listings: DataFrame) -> DataFra
         versions = with_version_span(reserves, "id").select(*columns, "first_start", "last_end")
         spanned = spread_join(latest_per_key(_reserve_fields(versions), ["id", "clid"]), listings, "clid")
     else:
-        # A listing may hold very many reserves: they are parsed where they lie, meet the listings in a join
-        # that adaptive execution broadcasts or splits, and are cut to one version before the next shuffle.
-        versions = _reserve_fields(reserves.select(*columns))
-        latest = kept(latest_per_key(spread_join(versions, listings, "clid"), ["id", "clid"]))
-        # All versions of these reserves, whatever their listing.  The semi join moves below the
-        # aggregation, so that the history of the others does not get there.
-        spans = version_span(reserves, "id").join(latest.select("id").distinct(), "id", "left_semi")
-        spanned = spread_join(latest, spans, "id", "left")
+        # A listing may hold very many reserves: those that may be on one of these are parsed where they lie and cut to one
+        # version before the shuffle, then meet the listings in a join that adaptive execution broadcasts or splits.
+        versions = _reserve_fields(likely(reserves.select(*columns), "clid", listings, "clid"))
+        latest = spread_join(latest_per_key(versions, ["id", "clid"]), listings, "clid")
+        # Versions of a reserve are added up before their shuffle, whatever their listing: both sides of this join have
+        # few rows of an id, and the spans are where it needs them.
+        spanned = latest.join(version_span(reserves, "id"), "id", "left")
     first, last = local_day(spanned, "first_start"), local_day(spanned, "last_end")
     return spanned.select(
         F.col("id").alias("_reserve"),

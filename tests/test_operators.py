@@ -383,3 +383,13 @@ def test_texts_in_the_order_of_a_collation(spark):
     assert [r["w"] for r in up.collect()] == expected
     assert [r["w"] for r in down.collect()] == expected[::-1]
     assert plain == sorted(filter(None, words)) + [None]
+
+
+@pytest.mark.parametrize("bits", [joins.FILTER_BITS, 1024, 64])
+def test_likely_keeps_what_the_join_keeps(spark, bits):
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("k")).unionByName(spark.createDataFrame([(None,)], "k string"))
+    keys = spark.createDataFrame([(str(i),) for i in range(0, 3000, 100)] * 2 + [(None,), ("other",)], "c string")
+    left = joins.likely(rows, "k", keys, "c", bits=bits)
+    assert sorted(r.k for r in left.join(keys.distinct(), left.k == keys.c).collect()) == sorted(str(i) for i in range(0, 3000, 100))
+    assert left.count() < {joins.FILTER_BITS: 40, 1024: 300, 64: 3002}[bits]
+    assert joins.likely(rows, "k", keys.where("false"), "c", bits=bits).count() == 0

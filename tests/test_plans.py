@@ -123,6 +123,15 @@ def test_zero_use_is_an_anti_join(tables):
     assert "LeftAnti" in plan(run(tables, "zero_use_items", location_id="19"))
 
 
+@pytest.mark.parametrize("name", ["course_term_circ_stats", "perm_rsrv_curr_circ_stats"])
+def test_reserves_of_other_terms_are_dropped_before_they_are_parsed(name, tables, settings):
+    tables.spark.catalog.clearCache()
+    settings(autoBroadcastJoinThreshold="-1", maxPlanStringLength="10000000")
+    text = plan(run(tables, name, **REPORTS[name]))
+    parsed = re.search(r"from_json[^\n]*copiedItem.*?(getbit|FileScan)", text, re.S)
+    assert parsed.group(1) == "getbit" and "Exchange" not in parsed.group()
+
+
 def test_loans_are_bounded_at_the_scan(tables):
     text = plan(run(tables, "course_term_circ_stats", term_name="asia"))
     scan = re.search(r"FileScan parquet \[id#\d+,creation_date.*", text).group()
