@@ -16,12 +16,17 @@ def _read_by(text: str) -> list[str]:
     return list(dict.fromkeys(name for _, name, _, _ in string.Formatter().parse(text) if name))
 
 
+#: Small files of which large documents are made: their rows are spread, as a task would else make those of a whole row group.
+SPREAD = {"part": "p_partkey", "customer": "c_custkey"}
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> Tables:
     """Relations derived by Spark from the tables in ``sf_dir``."""
 
     def find(name: str) -> DataFrame | None:
         if name in SOURCES:
-            return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+            source = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+            return source.repartition(2 * spark.sparkContext.defaultParallelism, SPREAD[name]) if name in SPREAD else source
         if name not in RELATIONS:
             return None
         text = RELATIONS[name](Spark())

@@ -38,3 +38,14 @@ def test_the_reports_are_registered_without(names):
     assert run.returncode == 0, run.stderr
     queries, sql = (set(line.split()) for line in run.stdout.splitlines())
     assert set(REPORT_QUERIES) | set(OPERATOR_QUERIES) == queries == sql
+
+
+def test_rows_that_documents_are_made_of_are_spread(spark):
+    from fixtures.warehouse import warehouse
+
+    tables = warehouse(spark, "/root/testdata/sf0.001")
+    for relation, table in (("item", "part"), ("instance", "customer")):
+        plain = spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet")
+        assert plain.rdd.getNumPartitions() == 1  # a single row group
+        assert tables[relation].rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        assert sorted(map(repr, tables[table].collect())) == sorted(map(repr, plain.collect()))
