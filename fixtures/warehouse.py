@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from biblioscope import Tables
 from fixtures.dialects import DuckDB, Spark
-from fixtures.relations import RELATIONS, SOURCES
+from fixtures.relations import ON_SPARK, RELATIONS, SOURCES
 
 
 def _read_by(text: str) -> list[str]:
@@ -29,7 +29,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Tables:
             return source.repartition(2 * spark.sparkContext.defaultParallelism, SPREAD[name]) if name in SPREAD else source
         if name not in RELATIONS:
             return None
-        text = RELATIONS[name](Spark())
+        text = ON_SPARK.get(name, RELATIONS[name])(Spark())
         return spark.sql(text, **{source: tables[source] for source in _read_by(text)})
 
     tables = Tables(spark, find)

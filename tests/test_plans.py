@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from biblioscope import Tables, release, run
 from biblioscope.operators import history, joins, spans
+from fixtures.dialects import Spark
+from fixtures.relations import RELATIONS
 from fixtures.warehouse import land, warehouse
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -202,3 +204,20 @@ def test_catalog_and_dictionary_tables_give_the_same_report(spark, tables):
         run(t, "count_circulation_history", barcode_to_check="B12") for t in (tables, by_catalog)
     )
     assert sorted(one.collect()) == sorted(two.collect()) != []
+
+
+def test_passes_over_the_derived_history_share_its_shuffle(spark, settings):
+    """Where both the listings and the spans of current reserves are read, the window behind the relation is shuffled once."""
+    settings(adaptive__enabled="false", autoBroadcastJoinThreshold="-1")
+    reserves = warehouse(spark, SF_DIR)["coursereserves_reserves"]
+    spans = history.version_span(reserves, "id").select("id", "first_start", "last_end")
+    listed = reserves.select("id", "courselistingid", "__id", "__start", "jsonb")
+    plan = listed.join(spans, "id")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"ReusedExchange \[l_orderkey#\d+L, l_partkey#\d+L, l_suppkey", plan)
+
+
+def test_the_derived_history_has_the_rows_of_its_text(spark):
+    ours = warehouse(spark, SF_DIR)["reserve_versions"]
+    theirs = spark.sql(RELATIONS["reserve_versions"](Spark()), lineitem=spark.read.parquet(f"{SF_DIR}/lineitem.parquet"))
+    assert ours.dtypes == theirs.dtypes
+    assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
