@@ -1,7 +1,9 @@
 import random
+import tracemalloc
 from collections import defaultdict
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from biblioscope.llm import decontam, jaccard, queries
@@ -172,3 +174,21 @@ def test_rows_without_an_id_are_cleaned_one_by_one(spark, work):
         finally:
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         assert sorted(left, key=repr) == sorted([rows[i] for i in (0, 3, 4, 5, 6, 9)], key=repr)
+
+
+def test_a_worker_hashes_little_at_once_and_counts_over_more():
+    """Shingles of a few texts, far apart in 4 MB, are still found to be common; the worker holds what a block of 1 MB takes."""
+    rnd = random.Random(3)
+    texts = [" ".join(f"w{rnd.randrange(10**6)}" for _ in range(2500)) for _ in range(200)]
+    for i in range(0, 200, 22):
+        texts[i] += " a passage of five words"
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    assert 3 << 20 < sum(map(len, texts)) < 4 << 20
+    tracemalloc.start()
+    rows = list(jaccard._features(iter([batch]), jaccard._ORDERS, 8, pa.int64()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 << 20
+    common = [n for r in rows for is_common, n in zip(r["common"].to_pylist(), r["n"].to_pylist(), strict=True) if is_common]
+    assert common == [10]
+    assert sum(r.num_rows for r in rows) == 201
